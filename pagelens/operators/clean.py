@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pagelens import schemas
+from pagelens.operators import ranking
 
 
 def drop_nulls(df: DataFrame, names=schemas.REQUIRED_TEXT) -> DataFrame:
@@ -41,22 +42,19 @@ def tail(df: DataFrame, n: int, order: str) -> DataFrame:
 def describe_numbers(df: DataFrame, names) -> DataFrame:
     """count, mean, std, min, quartiles and max of numeric columns, one row per column, in one pass.
 
-    Values are counted first, so that a column with few distinct values stays small.
+    Values are counted first; the quartiles come from running totals, so no task holds a column.
     """
     longs = df.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("column"), F.col(n).cast("double").alias("value")) for n in names])))
-    counted = longs.filter("value is not null").groupBy("column", "value").agg(F.count("*").alias("n"))
-    total, n = F.sum(F.col("value") * F.col("n")), F.sum("n")
-    squares = F.sum(F.col("value") * F.col("value") * F.col("n"))
-    stats = counted.groupBy("column").agg(
-        n.alias("count"), total.alias("_total"), squares.alias("_squares"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.expr("percentile(value, array(0.25, 0.5, 0.75), n)").alias("_q"))
-    mean = F.col("_total") / F.col("count")
-    variance = F.try_divide(F.col("_squares") - F.col("_total") * mean, (F.col("count") - 1).cast("double"))
-    return stats.select(
-        "column", "count", mean.alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"), "min",
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "max")
+    longs = longs.filter("value is not null")
+    stats = longs.groupBy("column").agg(
+        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    counted = longs.groupBy("column", "value").agg(F.count("*").alias("n"))
+    quartiles = ranking.exact_quantiles(counted, ["column"], [0.25, 0.5, 0.75])
+    quartiles = quartiles.toDF("column", "q1", "median", "q3")
+    return stats.join(quartiles, "column").select(
+        "column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def describe_texts(df: DataFrame, names) -> DataFrame:

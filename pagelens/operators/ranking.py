@@ -67,3 +67,29 @@ def first_rows(df: DataFrame, n: int, order: str, ties=(), depth: int = 6) -> Da
     """First ``n`` rows in the order of a numeric column, for an ``n`` too large for one task."""
     numbered = with_row_numbers(df, order, ties, "_row_no", depth)
     return numbered.filter(F.col("_row_no") <= n).drop("_row_no")
+
+
+def exact_quantiles(counted: DataFrame, groups, shares, value: str = "value", n: str = "n", depth: int = 6) -> DataFrame:
+    """Linearly interpolated quantiles per group of a table of distinct values and their counts.
+
+    Adds nothing up in one task: positions come from running totals, and each quantile picks the two
+    values around its position. Result: one row per group with ``q0 .. qk`` in the order of ``shares``.
+    """
+    groups = list(groups)
+    placed = with_running_totals(counted.select(*groups, value, n), value, {"_end": n}, groups, depth=depth)
+    sizes = counted.groupBy(*groups).agg(F.sum(n).alias("_size"))
+    placed = placed.join(sizes, groups)
+
+    def value_at(position):
+        holds = (F.col("_end") - F.col(n) <= position) & (position < F.col("_end"))
+        return F.max(F.when(holds, F.col(value).cast("double")))
+
+    aggregates = []
+    for i, share in enumerate(shares):
+        position = F.lit(share) * (F.col("_size") - 1)
+        aggregates += [value_at(F.floor(position)).alias(f"_low{i}"), value_at(F.ceil(position)).alias(f"_high{i}"),
+                       F.max(position - F.floor(position)).alias(f"_part{i}")]
+    found = placed.groupBy(*groups).agg(*aggregates)
+    return found.select(*groups, *[
+        (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_part{i}")).alias(f"q{i}")
+        for i in range(len(shares))])
