@@ -67,7 +67,7 @@ def _warc_folder(s, d):
 @query
 def s01_read_warc(s, d):
     records = warc.read_warc(s, _warc_folder(s, d))
-    return records.select("record_no", "url", "warc_id", "warc_date",
+    return records.select("url", "warc_id", "warc_date",
                           F.md5(html.decode(F.col("payload"))).alias("payload_md5"))
 
 
@@ -229,9 +229,13 @@ def h11_h12_usable_pages(s, d):
     return extract.usable(w.page_parts(s, d)).select("page_id", "title", "snippet")
 
 
+def _language_model(s, d):
+    return language.train(tables.spread(w.table(s, d, "documents", "text", "lang")))
+
+
 @query
 def h13_language(s, d):
-    trained = language.train(w.table(s, d, "documents", "text", "lang"))
+    trained = _language_model(s, d)
     pages = extract.usable(w.page_parts(s, d)).select("page_id", "snippet")
     return language.with_language(pages, trained).select("page_id", "language")
 
@@ -519,7 +523,7 @@ def f19_norm(s, d):
 
 @query
 def f20_round(s, d):
-    return w.table(s, d, "events", "event_id", "value").select("event_id", F.round("value", 1).alias("value"))
+    return w.table(s, d, "events", "event_id", "value").select("event_id", v.rounded(F.col("value"), 1).alias("value"))
 
 
 @query
@@ -609,7 +613,7 @@ def a15_multi_label_samples(s, d):
 # --------------------------------------------------------- training, scores
 def _examples(s, d):
     """Pages with text and the local labeller's labels."""
-    labelled = labelling.label_pages(_titles(s, d), labelling.keyword_labeller(KEYWORDS))
+    labelled = labelling.label_pages(tables.spread(_titles(s, d)), labelling.keyword_labeller(KEYWORDS))
     return labelled.withColumns({
         "text": tx.model_text(F.col("url"), F.col("title")),
         "label_vector": labelling.multi_hot(labelling.clean_labels(F.col("category")))})
@@ -916,11 +920,11 @@ def t01_score_visits(s, d):
 def t02_extract_new_files(s, d):
     folder = _warc_folder(s, d)
     out, state = shared_folder(s, "extracted-"), shared_folder(s, "state-")
-    trained = language.train(w.table(s, d, "documents", "text", "lang"))
+    trained = _language_model(s, d)
     for _ in range(2):  # The second run finds nothing new.
         crawl.extract_new_files(s, folder, out, state, trained, max_per_domain=2,
                                 max_files_per_trigger=8).awaitTermination()
-    return s.read.parquet(out).select("record_no", "url", "title", "warc_id", "content_type", "server", "meta_description")
+    return s.read.parquet(out).select("url", "title", "warc_id", "content_type", "server", "meta_description")
 
 
 @query
@@ -936,7 +940,7 @@ def t03_label_pending(s, d):
 # -------------------------------------------------------------------- flows
 @query
 def extracted_corpus(s, d):
-    trained = language.train(w.table(s, d, "documents", "text", "lang"))
+    trained = _language_model(s, d)
     pages = corpus.extracted_pages(tables.spread(w.page_records(s, d)), trained, 2)
     return pages.select("record_no", "url", "title", "snippet", "language", "content_type", "server", "meta_description")
 
@@ -944,7 +948,7 @@ def extracted_corpus(s, d):
 @query
 def label_profile(s, d):
     """The flagship: pages to title, snippet, language, cap, labels and features, and a profile per label."""
-    trained = language.train(w.table(s, d, "documents", "text", "lang"))
+    trained = _language_model(s, d)
     pages = corpus.extracted_pages(tables.spread(w.page_records(s, d)), trained)
     named = labelling.label_pages(pages, labelling.keyword_labeller(KEYWORDS))
     return corpus.label_profile(corpus.cleaned_features(labelling.successful(named), "record_no"))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagelens.functions import html, text as tx, vectors as v
 from pagelens.labels import LABELS, label_array, label_of
-from pagelens.operators import embedding, extract, labelling
+from pagelens.operators import embedding, extract, labelling, scoring
 from pagelens.sources import tables
 
 RECORDS_PER_FILE = 64
@@ -98,7 +98,7 @@ def predictions(spark, folder) -> DataFrame:
 
     rows = table(spark, folder, "pages", "page_id").withColumn("y", F.transform(label_array(), truth))
     rows = rows.withColumns({"prob_a": F.transform("y", prob_a), "prob_b": F.transform("y", prob_b)})
-    return rows.withColumns({"pred_a": F.transform("prob_a", v.threshold), "pred_b": F.transform("prob_b", v.threshold)})
+    return rows.withColumns({"pred_a": scoring.predictions(F.col("prob_a")), "pred_b": scoring.predictions(F.col("prob_b"))})
 
 
 def scored(spark, folder, model: str = "a") -> DataFrame:
@@ -123,7 +123,7 @@ N_LAYERS, N_HEADS = 2, 3
 
 def tokens(spark, folder) -> DataFrame:
     """Tokens of URL and title between the two marks."""
-    pages = html.with_title(table(spark, folder, "pages", "page_id", "url", "html"))
+    pages = html.with_title(tables.spread(table(spark, folder, "pages", "page_id", "url", "html")))
     inner = tx.tokens(tx.model_text(F.col("url"), F.col("title")))
     return pages.select(F.col("page_id").alias("example"),
                         F.concat(F.array(F.lit("[CLS]")), inner, F.array(F.lit("[SEP]"))).alias("tokens"))

@@ -36,9 +36,19 @@ def threshold(prob: Column, at: float = 0.5, inclusive: bool = True) -> Column:
     return F.when(passed, 1).otherwise(0)
 
 
+def _decimal_text(x: Column, digits: int) -> Column:
+    """Decimal text rounded from the exact binary value, ties to even, as Python and C print it."""
+    return F.replace(F.format_number(x.cast("double"), digits), F.lit(","), F.lit(""))
+
+
+def rounded(x: Column, digits: int = 3) -> Column:
+    """Python's ``round`` for doubles."""
+    return _decimal_text(x, digits).cast("double")
+
+
 def percent(x: Column, digits: int = 1) -> Column:
     """0.123 -> '12.3%'."""
-    return F.format_string(f"%.{digits}f%%", x * 100)
+    return F.concat(_decimal_text(x * 100, digits), F.lit("%"))
 
 
 def thousands(x: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from pagelens.functions import vectors as v
 from pagelens.labels import LABELS, index_of, label_array
 
 # Fixed value: whiskers reach this many interquartile ranges.
@@ -30,8 +31,8 @@ def label_shares(pages: DataFrame, allowed=LABELS, digits: int = 1) -> DataFrame
     """Percent of each allowed label among all of them, as a number and as text."""
     counts = label_counts(pages, allowed)
     whole = counts.agg(F.sum("n").alias("n")).scalar()
-    share = F.col("n") * 100.0 / whole
-    return counts.select("label", "n", share.alias("percent"), F.format_string(f"%.{digits}f%%", share).alias("text"))
+    share = F.col("n") / whole
+    return counts.select("label", "n", (share * 100).alias("percent"), v.percent(share, digits).alias("text"))
 
 
 def pages_by_label_number(pages: DataFrame) -> DataFrame:

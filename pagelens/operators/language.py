@@ -1,9 +1,10 @@
 """Language of a text: naive Bayes over character trigrams, trained on texts of known language."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizer, IndexToString, StringIndexer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.feature import CountVectorizerModel, IndexToString
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Bound of the trigram vocabulary, and with it of the model that is sent to every executor.
 VOCABULARY = 1 << 18
@@ -15,20 +16,40 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(letters, F.lit("(?=(...))"), F.lit(1))
 
 
+def trigram_counts(texts: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """(language, gram, n): one pass over the texts, summed up on the map side."""
+    grams = texts.select(F.col(language).alias("language"), F.explode(trigrams(F.col(text))).alias("gram"))
+    return grams.groupBy("language", "gram").agg(F.count("*").alias("n"))
+
+
 def train(texts: DataFrame, text: str = "text", language: str = "lang") -> PipelineModel:
-    """Fit on whole texts; counts are Laplace-smoothed."""
-    grams = texts.select(trigrams(F.col(text)).alias("_grams"), F.col(language).alias("_language"))
-    indexer = StringIndexer(inputCol="_language", outputCol="_label", stringOrderType="alphabetAsc",
-                            handleInvalid="skip").fit(grams)
-    stages = [
-        indexer,
-        CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=VOCABULARY),
-        NaiveBayes(featuresCol="_counts", labelCol="_label", predictionCol="_predicted",
-                   probabilityCol="_probability", rawPredictionCol="_raw", smoothing=1.0),
-    ]
-    fitted = Pipeline(stages=stages).fit(grams).stages
-    names = IndexToString(inputCol="_predicted", outputCol="language", labels=indexer.labels)
-    return PipelineModel(list(fitted[1:]) + [names])
+    """Fit on whole texts; counts are Laplace-smoothed.
+
+    Multinomial naive Bayes needs only the trigram counts and the number of texts of each language.
+    Both come from aggregations over all texts; what reaches the driver is bounded by the vocabulary.
+    """
+    spark = texts.sparkSession
+    known = texts.filter(F.col(text).isNotNull() & F.col(language).isNotNull())
+    n_texts = {r["language"]: r["n"] for r in known.groupBy(F.col(language).alias("language"))
+               .agg(F.count("*").alias("n")).collect()}
+    names = sorted(n_texts)
+    by_gram = trigram_counts(known, text, language).groupBy("gram").agg(
+        F.sum("n").alias("n"), *[F.sum(F.when(F.col("language") == name, F.col("n")).otherwise(0)).alias(f"n{i}")
+                                 for i, name in enumerate(names)])
+    top = by_gram.orderBy(F.desc("n"), "gram").limit(VOCABULARY).toPandas()
+
+    # One training row per language: its mean counts, weighted by its number of texts.
+    rows = [(float(i), float(n_texts[name]), Vectors.dense(top[f"n{i}"].to_numpy(float) / n_texts[name]))
+            for i, name in enumerate(names)]
+    schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType()),
+                           T.StructField("counts", VectorUDT())])
+    examples = spark.createDataFrame(rows, schema)
+    bayes = NaiveBayes(featuresCol="counts", weightCol="weight", smoothing=1.0).fit(examples)
+    bayes = bayes.setFeaturesCol("_counts").setPredictionCol("_predicted")
+    bayes = bayes.setProbabilityCol("").setRawPredictionCol("")
+    counter = CountVectorizerModel.from_vocabulary(
+        top["gram"].tolist(), inputCol="_grams", outputCol="_counts", minTF=1.0)
+    return PipelineModel([counter, bayes, IndexToString(inputCol="_predicted", outputCol="language", labels=names)])
 
 
 def with_language(df: DataFrame, model: PipelineModel, text: str = "snippet") -> DataFrame:

@@ -6,6 +6,7 @@ label, so the pages are read once and reduced on the map side.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pagelens.functions import vectors as v
 from pagelens.labels import LABELS, label_of
 from pagelens.operators import ranking
 
@@ -15,10 +16,6 @@ def _ratio(a, b) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def _col(c):
-    return F.col(c) if isinstance(c, str) else c
-
-
 def confusion(scored: DataFrame, labels=LABELS, y: str = "y", pred: str = "pred") -> DataFrame:
     """(label_idx, label, tp, fp, fn, tn)."""
     cells = scored.select(F.posexplode(F.arrays_zip(F.col(y).alias("y"), F.col(pred).alias("pred"))))
@@ -126,7 +123,7 @@ def all_metrics(scored: DataFrame, labels=LABELS, digits: int | None = 3) -> Dat
     counts = confusion(scored, labels)
     rows = (count_metrics(counts).unionByName(exact_match(scored))
             .unionByName(area_metrics(scored)).unionByName(f1_per_label(counts)))
-    return rows if digits is None else rows.withColumn("value", F.round("value", digits))
+    return rows if digits is None else rows.withColumn("value", v.rounded(F.col("value"), digits))
 
 
 def agreement(both: DataFrame, a: str = "pred_a", b: str = "pred_b", labels=LABELS) -> DataFrame:

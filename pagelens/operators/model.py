@@ -8,8 +8,9 @@ from pyspark.ml.feature import HashingTF, IDF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pagelens.functions import text as tx, vectors as v
+from pagelens.functions import text as tx
 from pagelens.labels import LABELS
+from pagelens.operators import scoring
 
 # Longest input in tokens and number of passes.
 MAX_TOKENS, EPOCHS = 512, 3
@@ -31,8 +32,8 @@ class MultiLabelModel:
         logits = F.array(*[
             vector_to_array(f"_raw{i}")[1] if m is not None else F.lit(float("-inf")) for i, m in enumerate(self.models)])
         df = df.select(*pages.columns, logits.alias("logit"))
-        df = df.withColumn("prob", F.transform("logit", v.sigmoid))
-        return df.withColumn("pred", F.transform("prob", v.threshold))
+        df = df.withColumn("prob", scoring.probabilities(F.col("logit")))
+        return df.withColumn("pred", scoring.predictions(F.col("prob")))
 
 
 def train(examples: DataFrame, text: str = "text", y: str = "label_vector", labels=LABELS, n_features: int = 1 << 16,
@@ -76,5 +77,5 @@ def score_with(pages: DataFrame, open_scorer, text: str = "text", parallelism: i
             yield frame.assign(logit=[[float(x) for x in row] for row in score(frame[text].tolist())])
 
     scored = pages.mapInPandas(run, schema)
-    scored = scored.withColumn("prob", F.transform("logit", v.sigmoid))
-    return scored.withColumn("pred", F.transform("prob", v.threshold))
+    scored = scored.withColumn("prob", scoring.probabilities(F.col("logit")))
+    return scored.withColumn("pred", scoring.predictions(F.col("prob")))

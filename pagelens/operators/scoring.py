@@ -8,7 +8,7 @@ from pagelens.labels import LABELS, label_array, label_of
 
 
 def probabilities(logits: Column) -> Column:
-    return F.transform(logits, v.sigmoid)
+    return F.transform(logits, lambda x: v.sigmoid(x))
 
 
 def predictions(prob: Column, at: float = 0.5, inclusive: bool = True) -> Column:

@@ -9,8 +9,9 @@ from pagelens.sources import tables, warc
 
 def new_files(spark: SparkSession, folder: str, max_files_per_trigger: int = 100, pattern: str = "*.warc*") -> DataFrame:
     """A stream of paths of files not seen before. Only the paths are read, not the contents."""
-    files = (spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
-             .option("maxFilesPerTrigger", max_files_per_trigger).load(folder))
+    files = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length bigint, content binary")
+             .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files_per_trigger).load(folder))
     return files.select("path")
 
 
