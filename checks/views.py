@@ -142,8 +142,7 @@ def attention(spark, folder) -> DataFrame:
                 + 1).cast("double")
 
     rows = rows.withColumn("weights", F.transform(at, lambda q: F.transform(at, lambda k: raw(q, k))))
-    return rows.withColumn("weights", F.transform("weights", lambda r: F.transform(
-        F.array(r), lambda x: F.transform(x, lambda w: w / v.total(x)))[0]))
+    return rows.withColumn("weights", F.transform("weights", v.shares))
 
 
 def gradients(spark, folder) -> DataFrame:

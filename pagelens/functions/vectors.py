@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, functions as F
 
+from pagelens.functions.stages import let
+
 
 def as_double(v: Column) -> Column:
     return v.cast("array<double>")
@@ -22,8 +24,12 @@ def norm(v: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """Vector of length one; NULL for the zero vector, which has no direction."""
-    length = norm(v)
-    return F.when(length > 0, F.transform(v, lambda x: x / length))
+    return let(norm(v), lambda length: F.when(length > 0, F.transform(v, lambda x: x / length)))
+
+
+def shares(v: Column) -> Column:
+    """Vector divided by its sum."""
+    return let(total(v), lambda whole: F.transform(v, lambda x: x / whole))
 
 
 def sigmoid(x: Column) -> Column:

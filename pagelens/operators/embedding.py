@@ -6,6 +6,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pagelens.functions import vectors as v
+from pagelens.functions.stages import computed
 from pagelens.session import ensure_checkpoint_dir
 
 NOISE = -1
@@ -45,7 +46,7 @@ def cosine_pairs(items: DataFrame, key: str, vector: str = "embedding", blocks:
     blocks by a hash of the key; every pair of blocks is one join key, so the work spreads over
     blocks * (blocks + 1) / 2 keys of equal weight. Zero vectors have no direction: distance NULL.
     """
-    units = items.select(F.col(key).alias("id"), v.unit(v.as_double(F.col(vector))).alias("u"))
+    units = computed(items.select(F.col(key).alias("id"), v.unit(v.as_double(F.col(vector))).alias("u")), "u")
     units = units.withColumn("_block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     low = units.select("id", "u", F.col("_block").alias("_low"),
                        F.explode(F.sequence("_block", F.lit(blocks - 1))).alias("_high"))
@@ -176,8 +177,8 @@ def silhouette(clustered: DataFrame, cluster: str = "cluster", vector: str = "em
     """
     ensure_checkpoint_dir(clustered.sparkSession)
     units = (clustered.filter(F.col(cluster) != NOISE)
-             .select(F.col(cluster).alias("cluster"), v.unit(v.as_double(F.col(vector))).alias("u"))
-             .filter("u is not null"))
+             .select(F.col(cluster).alias("cluster"), v.unit(v.as_double(F.col(vector))).alias("u")))
+    units = computed(units, "u").filter("u is not null")
     clusters = mean_vectors(units, "cluster", "u").checkpoint()
     n_clusters = clusters.count()
     as_list = F.collect_list(F.struct("cluster", "n", F.col("embedding").alias("c")))
@@ -199,7 +200,7 @@ def _compare(placed, keep):
     """Mean distance to the other clusters in a list, and to the own one when it is in the list."""
     distances = F.transform("others", lambda o: F.struct(
         o["cluster"].alias("cluster"), o["n"].alias("n"), (F.lit(1.0) - v.dot(F.col("u"), o["c"])).alias("d")))
-    placed = placed.withColumn("_d", distances)
+    placed = computed(placed.withColumn("_d", distances), "_d")
     own = F.get(F.filter("_d", lambda d: d["cluster"] == F.col("cluster")), F.lit(0))
     nearest = F.array_min(F.transform(F.filter("_d", lambda d: d["cluster"] != F.col("cluster")), lambda d: d["d"]))
     return placed.select(*keep, own["d"].alias("own"), own["n"].alias("n"), nearest.alias("b"))

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pagelens.functions import html, text as tx, url as u
+from pagelens.functions.stages import computed
 
 # Limits of the extraction.
 MIN_SNIPPET = 10
@@ -29,12 +30,13 @@ def with_page_parts(pages: DataFrame, sentences: int = 2, keep_xml: bool = False
     df = pages.withColumns({"title": html.raw_title(F.col("html")),
                             "meta_description": html.raw_meta_description(F.col("html"))})
     df = html.with_visible_text(df, "html", "snippet").drop("html")
-    return df.withColumns({
+    df = df.withColumns({
         "title": tx.strip(html.decode_entities(F.col("title"))),
         "meta_description": html.decode_entities(F.col("meta_description")),
         "snippet": html.first_sentences(F.col("snippet"), sentences),
         "domain": u.domain(F.col("url")),
     })
+    return computed(df, "title", "snippet", "meta_description", "domain")
 
 
 def usable(pages: DataFrame) -> DataFrame:

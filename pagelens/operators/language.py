@@ -17,38 +17,37 @@ def trigrams(text: Column) -> Column:
 
 
 def trigram_counts(texts: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
-    """(language, gram, n): one pass over the texts, summed up on the map side."""
-    grams = texts.select(F.col(language).alias("language"), F.explode(trigrams(F.col(text))).alias("gram"))
-    return grams.groupBy("language", "gram").agg(F.count("*").alias("n"))
+    """(language, gram, n) in one pass over the texts, summed up on the map side. The empty gram
+    counts the texts themselves."""
+    grams = F.concat(F.array(F.lit("")), trigrams(F.col(text)))
+    rows = texts.select(F.col(language).alias("language"), F.explode(grams).alias("gram"))
+    return rows.filter("language is not null").groupBy("language", "gram").agg(F.count("*").alias("n"))
 
 
 def train(texts: DataFrame, text: str = "text", language: str = "lang") -> PipelineModel:
     """Fit on whole texts; counts are Laplace-smoothed.
 
     Multinomial naive Bayes needs only the trigram counts and the number of texts of each language.
-    Both come from aggregations over all texts; what reaches the driver is bounded by the vocabulary.
+    Both come from one aggregation over all texts; what reaches the driver is bounded by the
+    vocabulary times the number of languages.
     """
-    spark = texts.sparkSession
-    known = texts.filter(F.col(text).isNotNull() & F.col(language).isNotNull())
-    n_texts = {r["language"]: r["n"] for r in known.groupBy(F.col(language).alias("language"))
-               .agg(F.count("*").alias("n")).collect()}
-    names = sorted(n_texts)
-    by_gram = trigram_counts(known, text, language).groupBy("gram").agg(
-        F.sum("n").alias("n"), *[F.sum(F.when(F.col("language") == name, F.col("n")).otherwise(0)).alias(f"n{i}")
-                                 for i, name in enumerate(names)])
-    top = by_gram.orderBy(F.desc("n"), "gram").limit(VOCABULARY).toPandas()
+    by_gram = trigram_counts(texts, text, language).groupBy("gram").agg(
+        F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("language", "n"))).alias("by_language"))
+    most_used = by_gram.orderBy((F.col("gram") != ""), F.desc("n"), "gram").limit(VOCABULARY + 1).collect()
+    n_texts, grams = most_used[0]["by_language"], most_used[1:]
 
     # One training row per language: its mean counts, weighted by its number of texts.
-    rows = [(float(i), float(n_texts[name]), Vectors.dense(top[f"n{i}"].to_numpy(float) / n_texts[name]))
+    names = sorted(n_texts)
+    rows = [(float(i), float(n_texts[name]), Vectors.dense([r["by_language"].get(name, 0) / n_texts[name] for r in grams]))
             for i, name in enumerate(names)]
     schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType()),
                            T.StructField("counts", VectorUDT())])
-    examples = spark.createDataFrame(rows, schema)
+    examples = texts.sparkSession.createDataFrame(rows, schema).coalesce(1)
     bayes = NaiveBayes(featuresCol="counts", weightCol="weight", smoothing=1.0).fit(examples)
     bayes = bayes.setFeaturesCol("_counts").setPredictionCol("_predicted")
     bayes = bayes.setProbabilityCol("").setRawPredictionCol("")
     counter = CountVectorizerModel.from_vocabulary(
-        top["gram"].tolist(), inputCol="_grams", outputCol="_counts", minTF=1.0)
+        [r["gram"] for r in grams], inputCol="_grams", outputCol="_counts", minTF=1.0)
     return PipelineModel([counter, bayes, IndexToString(inputCol="_predicted", outputCol="language", labels=names)])
 
 

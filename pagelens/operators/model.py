@@ -37,7 +37,7 @@ class MultiLabelModel:
 
 
 def train(examples: DataFrame, text: str = "text", y: str = "label_vector", labels=LABELS, n_features: int = 1 << 16,
-          epochs: int = EPOCHS, regularisation: float = 1e-4, parallelism: int = 4) -> MultiLabelModel:
+          epochs: int = EPOCHS, regularisation: float = 1e-4, parallelism: int = 8) -> MultiLabelModel:
     """Fit one logistic regression per label on hashed token weights.
 
     Features are computed once and kept while the independent label models are fitted side by side.

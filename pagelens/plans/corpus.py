@@ -1,6 +1,6 @@
 """From records to a labelled, featurised corpus."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pagelens import schemas
 from pagelens.operators import analysis, clean, extract, features, labelling, language
@@ -29,6 +29,7 @@ def cleaned_features(classified: DataFrame, order: str) -> DataFrame:
 def label_profile(featured: DataFrame) -> DataFrame:
     """Per label: pages, share in percent, and quartiles of the title length."""
     boxes = analysis.box_statistics(featured, ["title_length"])
-    shares = analysis.label_shares(featured)
-    return shares.join(boxes.drop("metric"), "label").select(
-        "label", F.col("n").alias("n_pages"), F.round("percent", 6).alias("percent"), "q1", "median", "q3")
+    # One row per label: the window holds at most as many rows as there are labels.
+    whole = F.sum("n_pages").over(Window.partitionBy(F.lit(0)))
+    return boxes.select("label", "n_pages", F.round(F.col("n_pages") * 100.0 / whole, 6).alias("percent"),
+                        "q1", "median", "q3")
