@@ -793,7 +793,7 @@ def v07_centroid_distances(s, d):
 
 @query
 def v08_silhouette(s, d):
-    return _round(embedding.silhouette(w.clustered(s, d)), "silhouette")
+    return _round(embedding.silhouette(w.clustered(s, d), "vec_id"), "silhouette")
 
 
 @query

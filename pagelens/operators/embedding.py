@@ -169,7 +169,7 @@ def density_clusters(pairs: DataFrame, items: DataFrame, key: str, eps: float, m
             .select(key, F.coalesce("cluster", F.lit(NOISE)).alias("cluster")))
 
 
-def silhouette(clustered: DataFrame, cluster: str = "cluster", vector: str = "embedding") -> DataFrame:
+def silhouette(clustered: DataFrame, key: str, cluster: str = "cluster", vector: str = "embedding") -> DataFrame:
     """Mean cosine silhouette without noise, NULL for fewer than two clusters. Exact and linear.
 
     The mean cosine distance from a unit vector to a cluster is 1 minus its product with the mean of
@@ -177,7 +177,7 @@ def silhouette(clustered: DataFrame, cluster: str = "cluster", vector: str = "em
     """
     ensure_checkpoint_dir(clustered.sparkSession)
     units = (clustered.filter(F.col(cluster) != NOISE)
-             .select(F.col(cluster).alias("cluster"), v.unit(v.as_double(F.col(vector))).alias("u")))
+             .select(F.col(key).alias("key"), F.col(cluster).alias("cluster"), v.unit(v.as_double(F.col(vector))).alias("u")))
     units = computed(units, "u").filter("u is not null")
     clusters = mean_vectors(units, "cluster", "u").checkpoint()
     n_clusters = clusters.count()
@@ -189,9 +189,8 @@ def silhouette(clustered: DataFrame, cluster: str = "cluster", vector: str = "em
     chunks = -(-n_clusters // CLUSTERS_IN_PLAN)
     pieces = (clusters.withColumn("chunk", F.pmod(F.xxhash64("cluster"), F.lit(chunks)).cast("int"))
               .groupBy("chunk").agg(as_list.alias("others")))
-    numbered = units.withColumn("_row", F.uuid()).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).join(pieces, "chunk")
-    parts = _compare(numbered, ["_row", "cluster"]).groupBy("_row", "cluster").agg(
+    placed = units.select("*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).join(pieces, "chunk")
+    parts = _compare(placed, ["key", "cluster"]).groupBy("key", "cluster").agg(
         F.max("own").alias("own"), F.max("n").alias("n"), F.min("b").alias("b"))
     return _mean_silhouette(parts, n_clusters)
 

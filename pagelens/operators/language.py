@@ -6,14 +6,20 @@ from pyspark.ml.feature import CountVectorizerModel, IndexToString
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from pagelens.functions.stages import let
+
 # Bound of the trigram vocabulary, and with it of the model that is sent to every executor.
 VOCABULARY = 1 << 18
 
 
 def trigrams(text: Column) -> Column:
-    """All overlapping trigrams of the lower-cased text, letters and single blanks only."""
+    """All overlapping trigrams of the lower-cased text, letters and single blanks only.
+
+    Cutting the text into threes from its first, second and third character gives each one once.
+    """
     letters = F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")
-    return F.regexp_extract_all(letters, F.lit("(?=(...))"), F.lit(1))
+    return let(letters, lambda t: F.concat(*[
+        F.regexp_extract_all(F.substring(t, start, 2**31 - 1), F.lit("..."), F.lit(0)) for start in (1, 2, 3)]))
 
 
 def trigram_counts(texts: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:

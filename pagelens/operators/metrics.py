@@ -7,6 +7,7 @@ label, so the pages are read once and reduced on the map side.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagelens.functions import vectors as v
+from pagelens.functions.stages import computed
 from pagelens.labels import LABELS, label_of
 from pagelens.operators import ranking
 
@@ -110,7 +111,10 @@ def areas(counts: DataFrame, groups=()) -> DataFrame:
 
 def area_metrics(scored: DataFrame, prob: str = "prob") -> DataFrame:
     """ROC-AUC and PR-AUC, all cells pooled (micro) and as the mean over labels (macro)."""
-    by_label = score_counts(scored, prob)
+    return _areas_of(score_counts(scored, prob))
+
+
+def _areas_of(by_label):
     pooled = by_label.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     micro = areas(pooled).select(F.col("roc_auc").alias("roc_auc_micro"), F.col("pr_auc").alias("pr_auc_micro"))
     macro = areas(by_label, ["label_idx"]).agg(
@@ -118,11 +122,36 @@ def area_metrics(scored: DataFrame, prob: str = "prob") -> DataFrame:
     return _rows(micro).unionByName(_rows(macro))
 
 
+def cell_counts(scored: DataFrame) -> DataFrame:
+    """(label_idx, score, pred, pos, neg), with one more index -1 that counts exact matches as pos.
+
+    Everything ``all_metrics`` needs, in one pass over the pages. The columns are fixed, so that the
+    consumers share this aggregation instead of pushing their own filters below it.
+    """
+    cells = F.transform(F.arrays_zip("y", "prob", "pred"), lambda c, i: F.struct(
+        i.alias("label_idx"), c["prob"].cast("double").alias("score"), c["pred"].cast("int").alias("pred"),
+        (c["y"] == 1).alias("hit")))
+    exact = F.struct(F.lit(-1).alias("label_idx"), F.lit(None).cast("double").alias("score"),
+                     F.lit(None).cast("int").alias("pred"), (F.col("y") == F.col("pred")).alias("hit"))
+    rows = scored.select(F.inline(F.concat(cells, F.array(exact))))
+    counts = rows.groupBy("label_idx", "score", "pred").agg(
+        F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg"))
+    return computed(counts, *counts.columns)
+
+
 def all_metrics(scored: DataFrame, labels=LABELS, digits: int | None = 3) -> DataFrame:
     """Every metric as (metric, value) rows, rounded."""
-    counts = confusion(scored, labels)
-    rows = (count_metrics(counts).unionByName(exact_match(scored))
-            .unionByName(area_metrics(scored)).unionByName(f1_per_label(counts)))
+    cells = cell_counts(scored)
+    of_labels = cells.filter("label_idx >= 0")
+    guess = F.col("pred") == 1
+    counts = of_labels.groupBy("label_idx").agg(
+        F.sum(F.when(guess, F.col("pos")).otherwise(0)).alias("tp"), F.sum(F.when(guess, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(guess, 0).otherwise(F.col("pos"))).alias("fn"), F.sum(F.when(guess, 0).otherwise(F.col("neg"))).alias("tn"))
+    counts = counts.withColumn("label", label_of(F.col("label_idx"), labels))
+    by_label = of_labels.groupBy("label_idx", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    exact = cells.filter("label_idx = -1").agg((F.sum("pos") / F.sum(F.col("pos") + F.col("neg"))).alias("exact_match"))
+    rows = (count_metrics(counts).unionByName(_rows(exact))
+            .unionByName(_areas_of(by_label)).unionByName(f1_per_label(counts)))
     return rows if digits is None else rows.withColumn("value", v.rounded(F.col("value"), digits))
 
 
