@@ -43,8 +43,14 @@ def threshold(prob: Column, at: float = 0.5, inclusive: bool = True) -> Column:
 
 
 def _decimal_text(x: Column, digits: int) -> Column:
-    """Decimal text rounded from the exact binary value, ties to even, as Python and C print it."""
-    return F.replace(F.format_number(x.cast("double"), digits), F.lit(","), F.lit(""))
+    """Decimal text rounded from the exact binary value, ties to even, as Python and C print it.
+
+    ``format_number`` does that except for half a unit of the last digit, which is spelled out.
+    """
+    x = x.cast("double")
+    half = float(f"5e-{digits + 1}")
+    text = F.replace(F.format_number(x, digits), F.lit(","), F.lit(""))
+    return (F.when(x == half, f"{half:.{digits}f}").when(x == -half, f"{-half:.{digits}f}").otherwise(text))
 
 
 def rounded(x: Column, digits: int = 3) -> Column:

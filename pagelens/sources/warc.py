@@ -1,6 +1,5 @@
 """WARC files as a Spark data source: ``spark.read.format("warc").load(path)``."""
 
-import gzip
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,7 +15,32 @@ def _open(path: str):
     else:
         filesystem, name = fs.LocalFileSystem(), path
     raw = filesystem.open_input_stream(name, compression=None)
-    return gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw
+    return _Gunzip(raw) if name.endswith(".gz") else raw
+
+
+class _Gunzip:
+    """Reads the members of a gzip stream one after the other; a cut file gives all that is there."""
+
+    def __init__(self, raw):
+        self.raw, self.waiting, self.member = raw, b"", zlib.decompressobj(31)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.raw.close()
+
+    def read(self, size):
+        while True:
+            self.waiting = self.waiting or self.raw.read(1 << 16)
+            if not self.waiting:
+                return b""
+            data = self.member.decompress(self.waiting, size)
+            self.waiting = self.member.unconsumed_tail
+            if self.member.eof:
+                self.waiting, self.member = self.member.unused_data, zlib.decompressobj(31)
+            if data:
+                return data
 
 
 def _list(path: str):
@@ -86,7 +110,7 @@ def warc_records(stream):
                 headers[name.strip().lower()] = value.strip()
             length = headers.get("content-length", "")
             yield headers, source.block(int(length) if length.isdigit() else 0)
-    except (EOFError, OSError, zlib.error):
+    except (OSError, zlib.error):
         return
 
 
