@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pagelens.functions import text as tx
+from pagelens.functions.stages import computed
 
 # Elements whose whole content is invisible, and markers of XML bodies.
 RAW_HIDDEN = ["script", "style"]
@@ -174,12 +175,12 @@ def first_sentences(text: Column, n: int = 2) -> Column:
 # The functions below work on a DataFrame: each stage is computed once and read several times by the next.
 def with_title(df: DataFrame, page: str = "html", out: str = "title") -> DataFrame:
     df = df.withColumn(out, raw_title(F.col(page)))
-    return df.withColumn(out, tx.strip(decode_entities(F.col(out))))
+    return computed(df.withColumn(out, tx.strip(decode_entities(F.col(out)))), out)
 
 
 def with_meta_description(df: DataFrame, page: str = "html", out: str = "meta_description") -> DataFrame:
     df = df.withColumn(out, raw_meta_description(F.col(page)))
-    return df.withColumn(out, decode_entities(F.col(out)))
+    return computed(df.withColumn(out, decode_entities(F.col(out))), out)
 
 
 def with_visible_text(df: DataFrame, page: str = "html", out: str = "visible_text") -> DataFrame:
@@ -194,4 +195,5 @@ def with_visible_text(df: DataFrame, page: str = "html", out: str = "visible_tex
 
 
 def with_snippet(df: DataFrame, page: str = "html", out: str = "snippet", sentences: int = 2) -> DataFrame:
-    return with_visible_text(df, page, out).withColumn(out, first_sentences(F.col(out), sentences))
+    df = with_visible_text(df, page, out)
+    return computed(df.withColumn(out, first_sentences(F.col(out), sentences)), out)

@@ -6,6 +6,8 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from pagelens.functions.stages import computed
+
 # Derived by rule from the Unicode tables: what Python treats as blank or digit.
 _CHARACTERS = [chr(code) for code in range(0x20000)]
 BLANKS = "".join(c for c in _CHARACTERS if c.isspace())
@@ -196,4 +198,4 @@ def with_sanitised(df: DataFrame, *names: str, csv_quotes: bool = True) -> DataF
     df = stage(df, fold_to_ascii)
     df = stage(df, lambda c: collapse_blanks(drop_controls(drop_markup(c))))
     df = stage(df, lambda c: drop_all_controls(double_quotes(c) if csv_quotes else c))
-    return stage(df, shorten_long)
+    return computed(stage(df, shorten_long), *names)

@@ -8,6 +8,7 @@ expression over its row; only the averages over examples are grouped, by (layer,
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagelens.functions import vectors as v
+from pagelens.functions.stages import computed
 
 # Fixed values of the scores.
 TINY_WEIGHT, TINY_RANGE, TINY_SCORE = 1e-10, 1e-10, 1e-6
@@ -51,7 +52,8 @@ def separator(tokens: Column) -> Column:
 def with_separator(attention: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
     """Add ``sep`` and ``n_tokens``, from the table's own ``tokens`` or from a token table by example."""
     if tokens is None:
-        return attention.withColumns({"sep": separator(F.col("tokens")), "n_tokens": F.size("tokens")})
+        found = attention.withColumns({"sep": separator(F.col("tokens")), "n_tokens": F.size("tokens")})
+        return computed(found, "sep", "n_tokens")
     small = tokens.select("example", separator(F.col("tokens")).alias("sep"), F.size("tokens").alias("n_tokens"))
     return attention.join(small, "example")
 
