@@ -6,6 +6,7 @@ common set, and pages whose hidden elements are nested in their own kind or not
 """
 
 import html as _html
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -23,13 +24,12 @@ XML_STARTS = ["<?xml", "<rss"]
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
 
-# Entities decoded natively; "&amp;" has to be the last.
-COMMON_ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'",
-    "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·", "&bull;": "•", "&hellip;": "…",
-    "&ndash;": "–", "&mdash;": "—", "&laquo;": "«", "&raquo;": "»", "&lsquo;": "‘", "&rsquo;": "’",
-    "&ldquo;": "“", "&rdquo;": "”", "&euro;": "€", "&amp;": "&",
-}
+# Named entities decoded natively, and the numbers (160 to 54999) that stand for themselves.
+# The map is searched from its start, so the frequent names come first.
+_FREQUENT = ["amp", "nbsp", "quot", "lt", "gt", "copy", "rsquo", "lsquo", "ndash", "mdash", "middot", "raquo", "laquo"]
+ENTITIES = {name: chr(name2codepoint[name]) for name in sorted(name2codepoint, key=lambda n: (n not in _FREQUENT, n))}
+ENTITIES["apos"] = "'"
+_NUMBER = r"#(?:1[6-9]\d|[2-9]\d\d|[1-9]\d{3}|[1-4]\d{4}|5[0-4]\d{3})"
 
 _TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[!?][^>]*>|</?[A-Za-z][^>]*>"""
 
@@ -77,14 +77,27 @@ def _unescape_with_python(texts: pd.Series) -> pd.Series:
     return texts.map(_html.unescape, na_action="ignore")
 
 
-_RARE_ENTITY = "&(?!(?:" + "|".join(e[1:] for e in COMMON_ENTITIES) + "))[#A-Za-z]"
+# An ampersand that may start a reference, but none of those above.
+_RARE_ENTITY = "&(?!(?:" + "|".join(ENTITIES) + "|" + _NUMBER + ");)[#A-Za-z]"
+
+
+def _decoded_piece(piece: Column) -> Column:
+    """What stands behind an ampersand, with the reference at its start replaced."""
+    end = F.locate(";", piece)
+    name = F.substring(piece, F.lit(1), end - 1)
+    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair]), name)
+    code = F.hex(F.substring(name, 2, 6).try_cast("int"))
+    numbered = F.when(name.rlike(f"^{_NUMBER}$"), F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"))
+    character = F.coalesce(named, numbered)
+    return F.when(character.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+        F.concat(character, F.substring(piece, end + 1, F.char_length(piece))))
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references to characters, each decoded once."""
-    native = text
-    for entity, character in COMMON_ENTITIES.items():
-        native = F.replace(native, F.lit(entity), F.lit(character))
+    """Character references to characters, each decoded once: the text is cut at its ampersands and
+    each piece looked up. Texts with other references go through the Arrow function."""
+    pieces = F.split(text, "&")
+    native = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(_decoded_piece(p))), "")
     rare = text.rlike(_RARE_ENTITY)
     return (F.when(~F.contains(text, F.lit("&")), text)
             .when(rare, _unescape_with_python(F.when(rare, text)))

@@ -12,8 +12,9 @@ from pagelens.functions.stages import computed
 _CHARACTERS = [chr(code) for code in range(0x20000)]
 BLANKS = "".join(c for c in _CHARACTERS if c.isspace())
 DIGITS = "".join(c for c in _CHARACTERS if c.isdigit())
-# The same blanks as a regular-expression class.
-BLANK_CLASS = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+
+# The same blanks as a regular-expression class; those of one byte are listed for a table lookup.
+BLANK_CLASS = r"[\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x85\xA0\p{IsWhite_Space}]"
 
 
 def strip(text: Column) -> Column:

@@ -12,22 +12,34 @@ from pagelens.functions.stages import let
 VOCABULARY = 1 << 18
 
 
+def words(text: Column) -> Column:
+    """Runs of letters of the lower-cased text."""
+    return F.array_remove(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), " "), "")
+
+
 def trigrams(text: Column) -> Column:
-    """All overlapping trigrams of the lower-cased text, letters and single blanks only.
+    """Overlapping trigrams of the words, each word between two blanks on either side.
 
     Cutting the text into threes from its first, second and third character gives each one once.
+    With two blanks between words, the trigrams of a text are those of its words taken one by one.
     """
-    letters = F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")
-    return let(letters, lambda t: F.concat(*[
+    padded = F.concat(F.lit("  "), F.array_join(words(text), "  "), F.lit("  "))
+    return let(padded, lambda t: F.concat(*[
         F.regexp_extract_all(F.substring(t, start, 2**31 - 1), F.lit("..."), F.lit(0)) for start in (1, 2, 3)]))
 
 
 def trigram_counts(texts: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
-    """(language, gram, n) in one pass over the texts, summed up on the map side. The empty gram
-    counts the texts themselves."""
-    grams = F.concat(F.array(F.lit("")), trigrams(F.col(text)))
-    rows = texts.select(F.col(language).alias("language"), F.explode(grams).alias("gram"))
-    return rows.filter("language is not null").groupBy("language", "gram").agg(F.count("*").alias("n"))
+    """(language, gram, n) in one pass over the texts; the empty gram counts the texts themselves.
+
+    Words are counted first and cut into trigrams once per distinct word, so the rows that meet the
+    first aggregation are words, not characters, and what follows grows with the vocabulary only.
+    """
+    tokens = F.concat(F.array(F.lit("")), words(F.col(text)))
+    rows = texts.select(F.col(language).alias("language"), F.explode(tokens).alias("word")).filter("language is not null")
+    counted = rows.groupBy("language", "word").agg(F.count("*").alias("n"))
+    grams = F.when(F.col("word") == "", F.array(F.lit(""))).otherwise(trigrams(F.col("word")))
+    return (counted.select("language", "n", F.explode(grams).alias("gram"))
+            .groupBy("language", "gram").agg(F.sum("n").alias("n")))
 
 
 def train(texts: DataFrame, text: str = "text", language: str = "lang") -> PipelineModel:
