@@ -94,7 +94,8 @@ def score_counts(scored: DataFrame, prob: str = "prob") -> DataFrame:
 
 
 def areas(counts: DataFrame, groups=()) -> DataFrame:
-    """ROC-AUC and average precision per group, NULL when a class is missing.
+    """ROC-AUC and average precision per group. Without both classes the first is undefined (NULL); without
+    positives the second is 0.
 
     A step at one score adds ``neg`` to the false and ``pos`` to the true positives; its trapezoid is
     neg * (tp - pos / 2).
@@ -106,11 +107,12 @@ def areas(counts: DataFrame, groups=()) -> DataFrame:
         F.sum(neg * (tp - pos / 2)).alias("_area"), F.sum(pos * tp / (tp + fp)).alias("_precision"),
         F.sum(pos).alias("_pos"), F.sum(neg).alias("_neg"))
     return sums.select(*groups, F.try_divide("_area", F.col("_pos") * F.col("_neg")).alias("roc_auc"),
-                       F.try_divide("_precision", "_pos").alias("pr_auc"))
+                       F.coalesce(F.try_divide("_precision", "_pos"), F.lit(0.0)).alias("pr_auc"))
 
 
 def area_metrics(scored: DataFrame, prob: str = "prob") -> DataFrame:
-    """ROC-AUC and PR-AUC, all cells pooled (micro) and as the mean over labels (macro)."""
+    """ROC-AUC and PR-AUC, all cells pooled (micro) and as the mean over labels (macro). The mean is
+    undefined, NULL, if it is for a label."""
     return _areas_of(score_counts(scored, prob))
 
 
@@ -118,7 +120,7 @@ def _areas_of(by_label):
     pooled = by_label.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     micro = areas(pooled).select(F.col("roc_auc").alias("roc_auc_micro"), F.col("pr_auc").alias("pr_auc_micro"))
     macro = areas(by_label, ["label_idx"]).agg(
-        F.avg("roc_auc").alias("roc_auc_macro"), F.avg("pr_auc").alias("pr_auc_macro"))
+        F.when(F.count_if(F.isnull("roc_auc")) == 0, F.avg("roc_auc")).alias("roc_auc_macro"), F.avg("pr_auc").alias("pr_auc_macro"))
     return _rows(micro).unionByName(_rows(macro))
 
 
