@@ -43,21 +43,28 @@ def _warc_folder(s, d):
     """The pages as gzip WARC files, written by the tasks."""
     folder = shared_folder(s, "warc-")
 
+    filesystem_of = warc.filesystem_of
+
     def write(frames):
         import gzip
-        import os
         import pandas as pd
-        for frame in frames:
-            for file, part in frame.groupby("warc_file"):
-                os.makedirs(folder, exist_ok=True)
-                with gzip.open(f"{folder}/part-{file:06d}.warc.gz", "ab") as out:
-                    for row in part.sort_values("record_no").itertuples():
-                        for kind, block in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", row.payload.encode())):
-                            out.write(
-                                (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {row.url}\r\n"
-                                 f"WARC-Record-ID: {row.warc_id}\r\nWARC-Date: {row.warc_date}\r\n"
-                                 f"Content-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n")
+        filesystem, name = filesystem_of(folder)
+        filesystem.create_dir(name, recursive=True)
+        current, out = None, None
+        for frame in frames:  # Sorted by file, so a file is written from one end to the other.
+            for row in frame.itertuples():
+                if row.warc_file != current:
+                    if out:
+                        out.close()
+                    current, out = row.warc_file, filesystem.open_output_stream(f"{name}/part-{row.warc_file:06d}.warc.gz", compression=None)
+                for kind, block in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", row.payload.encode())):
+                    head = (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {row.url}\r\n"
+                            f"WARC-Record-ID: {row.warc_id}\r\nWARC-Date: {row.warc_date}\r\n"
+                            f"Content-Length: {len(block)}\r\n\r\n").encode()
+                    out.write(gzip.compress(head + block + b"\r\n\r\n"))
             yield pd.DataFrame({"n": [len(frame)]})
+        if out:
+            out.close()
 
     records = w.page_records(s, d).repartition("warc_file").sortWithinPartitions("warc_file", "record_no")
     records.mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()

@@ -8,12 +8,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pagelens import schemas
 
 
-def _open(path: str):
+def filesystem_of(path: str):
+    """The file system of a path or URI, and the path on it."""
     from pyarrow import fs
     if "://" in path or path.startswith("file:/"):
-        filesystem, name = fs.FileSystem.from_uri(path)
-    else:
-        filesystem, name = fs.LocalFileSystem(), path
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def _open(path: str):
+    filesystem, name = filesystem_of(path)
     raw = filesystem.open_input_stream(name, compression=None)
     return _Gunzip(raw) if name.endswith(".gz") else raw
 
@@ -47,10 +51,7 @@ def _list(path: str):
     """Files at a path: the file itself, a folder's files, or the matches of a '*' in the last part."""
     import fnmatch
     from pyarrow import fs
-    if "://" in path or path.startswith("file:/"):
-        filesystem, name = fs.FileSystem.from_uri(path)
-    else:
-        filesystem, name = fs.LocalFileSystem(), path
+    filesystem, name = filesystem_of(path)
     folder, last = name.rsplit("/", 1) if "/" in name else (".", name)
     prefix = path[:len(path) - len(name)] if path.endswith(name) else ""
     if "*" in last:
