@@ -16,9 +16,11 @@ from pyspark.sql import Window, functions as F
 from pagelens.llm.components import components
 from pagelens.llm.encoding import documents, text_slices
 from pagelens.llm.shingles import shingle_sets
-from pagelens.session import ensure_checkpoint_dir
+from pagelens.session import ensure_checkpoint_dir, shared_folder
 
 SLOTS = 1 << 18  # Counters of shingles: 2 MB on the driver and in each task, for any input.
+BLOCK = 1 << 12
+SLICE = 2 << 20  # Bytes of text that are cut into shingles at a time.
 BINS = 64  # The suffix filter compares how many shingles fall into each part of the hash range.
 NEEDED_BITS = 20  # Before the exact join, whole sets are looked up in a bit table of this size.
 
@@ -28,26 +30,28 @@ def digest(grams):
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def stored(df, name):
+    """Write a table to the shared folder and read it again: later steps start from its files."""
+    folder = shared_folder(df.sparkSession, f"jaccard-{name}-")
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def profile(texts, size):
-    """Per document doc_id, n, node, bins; at the end of each task its shingle counts as slot, count."""
+    """Per document doc_id, n, node, bins; at the end of each task its shingle counts, in blocks of BLOCK counters."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
         counts = np.zeros(SLOTS, "int64")
-        names = ["doc_id", "n", "node", "bins", "slot", "count"]
-        kind = pa.list_(pa.int16())
-
-        def table(keys, n, nodes, bins, slots, found):
-            rows = max(len(n), len(slots))
-            empty = lambda t: pa.nulls(rows, t)
-            return pa.RecordBatch.from_arrays([
-                keys if len(n) else empty(pa.int64()), pa.array(n, "int64") if len(n) else empty(pa.int64()),
-                pa.array(nodes, "binary") if len(n) else empty(pa.binary()), pa.array(bins, kind) if len(n) else empty(kind),
-                pa.array(slots, "int32") if len(slots) else empty(pa.int32()),
-                pa.array(found, "int64") if len(slots) else empty(pa.int64())], names)
+        names = ["doc_id", "n", "node", "bins", "block", "counts"]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int16()), pa.int32(), pa.binary()]
+
+        def table(*columns):
+            rows = max(map(len, columns))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) if len(c) else pa.nulls(rows, t) for c, t in zip(columns, types)], names)
 
         for batch in batches:
-            for keys, found in text_slices(batch):
+            for keys, found in text_slices(batch, SLICE):
                 n, nodes, bins = [], [], []
                 for grams in shingle_sets(found, size):
                     n.append(len(grams))
@@ -56,23 +60,43 @@ def profile(texts, size):
                     bins.append(np.minimum(part, 32767).astype("int16"))
                     np.add.at(counts, (grams & np.uint64(SLOTS - 1)).astype("int64"), 1)
                 yield table(keys, n, nodes, bins, [], [])
-        used = np.flatnonzero(counts)
-        for at in range(0, len(used), 16384):
-            yield table(None, [], [], [], used[at:at + 16384], counts[used[at:at + 16384]])
+        for block in range(SLOTS // BLOCK):
+            yield table([], [], [], [], [block], [counts[block * BLOCK:(block + 1) * BLOCK].astype("<i8").tobytes()])
+
+    return texts.mapInArrow(run, "doc_id long, n long, node binary, bins array<smallint>, block int, counts binary")
+
+
+def total_counts(profiled):
+    """Sum of all tasks' counters: each block is added up as a stream, SLOTS numbers reach the driver."""
+    import numpy as np
 
-    return texts.mapInArrow(run, "doc_id long, n long, node binary, bins array<smallint>, slot int, count long")
+    def run(batches):
+        import pyarrow as pa
+        totals = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = np.frombuffer(counts.as_py(), "<i8")
+                totals[block] = totals[block] + found if block in totals else found
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), "int32"), pa.array([v.tobytes() for v in totals.values()], "binary")],
+                                         ["block", "counts"])
+
+    blocks = profiled.filter("block IS NOT NULL").select("block", "counts").repartition(SLOTS // BLOCK, "block")
+    counts = np.zeros(SLOTS, "int64")
+    for row in blocks.mapInArrow(run, "block int, counts binary").collect():
+        counts[row.block * BLOCK:(row.block + 1) * BLOCK] = np.frombuffer(row.counts, "<i8")
+    return counts
 
 
 def prefixes(texts, size, percent, counts):
-    """Prefix shingles of each set that a task meets: gram, node, n, pos (place in the rare-first order)."""
+    """Prefix shingles of each set that a task meets: gram, doc_id, n, pos (place in the rare-first order)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
         often, seen = counts.value, set()
         for batch in batches:
-            for _, found in text_slices(batch):
-                columns = [[], [], [], []]
-                for grams in shingle_sets(found, size):
+            for keys, found in text_slices(batch, SLICE):
+                grams_of, docs, n_of, pos_of = [], [], [], []
+                for doc, grams in zip(keys.to_pylist(), shingle_sets(found, size)):
                     n = len(grams)
                     node = digest(grams) if n else None
                     if node is None or node in seen:
@@ -80,16 +104,30 @@ def prefixes(texts, size, percent, counts):
                     seen.add(node)
                     keep = n - -(-percent * n // 100) + 1
                     order = np.lexsort((grams, often[(grams & np.uint64(SLOTS - 1)).astype("int64")]))[:keep]
-                    columns[0].append(grams[order].view("int64"))
-                    columns[1] += [node] * len(order)
-                    columns[2].append(np.full(len(order), n, "int32"))
-                    columns[3].append(np.arange(len(order), dtype="int32"))
-                if columns[1]:
-                    grams, _, n, pos = (np.concatenate(c) if i != 1 else c for i, c in enumerate(columns))
-                    yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(columns[1], "binary"), pa.array(n), pa.array(pos)],
-                                                     ["gram", "node", "n", "pos"])
+                    grams_of.append(grams[order].view("int64"))
+                    docs += [doc] * len(order)
+                    n_of.append(np.full(len(order), n, "int32"))
+                    pos_of.append(np.arange(len(order), dtype="int32"))
+                if docs:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_of)), pa.array(docs, "int64"), pa.array(np.concatenate(n_of)),
+                                                      pa.array(np.concatenate(pos_of))], ["gram", "doc_id", "n", "pos"])
+
+    return texts.mapInArrow(run, "gram long, doc_id long, n int, pos int")
 
-    return texts.mapInArrow(run, "gram long, node binary, n int, pos int")
+
+def shared_prefixes(texts, members, size, percent, counts):
+    """Prefix shingles that more than one node has: gram, node, n, pos.
+
+    Documents stand for their nodes until the shingles of one document alone are gone. Where an id occurs
+    with several texts, each text's shingles meet all its nodes; this adds candidates and loses none.
+    """
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = F.count(F.lit(1)).over(Window.partitionBy("gram"))
+    places = prefixes(texts, size, percent, counts).repartition(partitions, "gram").withColumn("_df", many).filter("_df > 1").drop("_df")
+    named = members.filter("node IS NOT NULL").select(F.col("doc_id").alias("_id"), "node").distinct()
+    places = places.join(named, F.col("doc_id").eqNullSafe(F.col("_id"))).select("gram", "node", "n", "pos")
+    places = places.repartition(partitions, "gram").dropDuplicates(["gram", "node"]).withColumn("_df", many)
+    return places.filter("_df > 1").drop("_df")
 
 
 def whole_sets(texts, size, needed):
@@ -99,7 +137,7 @@ def whole_sets(texts, size, needed):
         import pyarrow as pa
         bits, seen = needed.value, set()
         for batch in batches:
-            for _, found in text_slices(batch):
+            for _, found in text_slices(batch, SLICE):
                 nodes, sets = [], []
                 for grams in shingle_sets(found, size):
                     node = digest(grams)
@@ -151,16 +189,12 @@ def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="te
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     texts = documents(docs, id_column, text_column)
-    profiled = profile(texts, size).checkpoint()
-    counts = sums_of_slots(profiled)
-    counts = spark.sparkContext.broadcast(counts)  # SLOTS counters, for any input.
-    members = profiled.filter("slot IS NULL").select("doc_id", "n", "node", "bins")
-    nodes = members.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bins").alias("bins")).checkpoint()
-
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    places = prefixes(texts, size, percent, counts).repartition(partitions, "gram").dropDuplicates(["gram", "node"])
-    shared = places.withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy("gram"))).filter("_df > 1").drop("_df").checkpoint()
+    profiled = stored(profile(texts, size), "profile")
+    counts = spark.sparkContext.broadcast(total_counts(profiled))  # SLOTS counters, for any input.
+    members = profiled.filter("block IS NULL").select("doc_id", "n", "node", "bins")
+    nodes = stored(members.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bins").alias("bins")), "nodes")
+    shared = stored(shared_prefixes(texts, members, size, percent, counts), "prefixes")
     links = joined(texts, shared, nodes.select("node", "n", "bins"), size, percent)
 
     groups = components(links)
@@ -172,14 +206,6 @@ def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="te
         F.coalesce("copies", F.lit(1)).alias("copies"))
 
 
-def sums_of_slots(profiled):
-    import numpy as np
-    counts = np.zeros(SLOTS, "int64")
-    found = profiled.filter("slot IS NOT NULL").groupBy("slot").agg(F.sum("count").alias("count")).toPandas()
-    counts[found["slot"].to_numpy("int64")] = found["count"].to_numpy("int64")
-    return counts
-
-
 def bit_table(pairs):
     """A bit for the first bits of every node in the pairs: at most 2 ** NEEDED_BITS numbers reach the driver."""
     import numpy as np
@@ -198,7 +224,7 @@ def verified(texts, pairs, size, percent):
     pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
     pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return pairs.filter(enough(common.cast("long"), F.size("x"), F.size("y"), percent)).select("a", "b").checkpoint()
+    return stored(pairs.filter(enough(common.cast("long"), F.size("x"), F.size("y"), percent)).select("a", "b"), "links")
 
 
 def joined(texts, shared, nodes, size, percent):
@@ -227,7 +253,7 @@ def joined(texts, shared, nodes, size, percent):
         pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = with_bins(pairs).checkpoint()
+        pairs = stored(with_bins(pairs), "pairs")
         found = verified(texts, pairs, size, percent)
         links = found if links is None else links.union(found)
         tried = pairs if tried is None else tried.union(pairs)
@@ -238,5 +264,6 @@ def joined(texts, shared, nodes, size, percent):
     pairs = x.join(y, (x["gram"] == y["gram"]) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
                    & plausible(F.col("x"), F.col("y"), percent)
                    & suffix_filter(F.col("x.bins"), F.col("y.bins"), F.col("x.n"), F.col("y.n"), percent))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti").checkpoint()
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    pairs = stored(pairs, "pairs")
     return links.union(verified(texts, pairs, size, percent))
