@@ -89,7 +89,8 @@ def fingerprints(docs, id_column="doc_id", text_column="text", samples=SAMPLES):
         F.array(F.struct(own.alias("range"), F.lit(0).alias("guest"))),
         F.when(after > 0, F.array(F.struct(after.alias("range"), F.lit(1).alias("guest")))).otherwise(F.array()),
         F.when(F.col("doc_id").eqNullSafe(F.lit(found.top).cast("long")), F.array(F.struct(F.lit(0).alias("range"), F.lit(2).alias("guest")))).otherwise(F.array()))
-    dealt = rows.select("doc_id", "text", F.inline(copies)).repartition(partitions, "range")
+    # The filter drops nothing; with it both uses of the table below have the same plan and share one shuffle.
+    dealt = rows.select("doc_id", "text", F.inline(copies)).filter("range IS NOT NULL").repartition(partitions, "range")
     order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
     placed = dealt.select("range", "guest", "doc_id", "text", F.row_number().over(order).alias("place"),
                           F.coalesce(F.lead("text").over(order), F.lit("")).alias("following"))
