@@ -317,7 +317,7 @@ def l03_validate_labels(s, d):
 @query
 def l04_pending_rows(s, d):
     docs = w.table(s, d, "documents", "doc_id", "lang")
-    return labelling.pending(docs, w.table(s, d, "labels", "doc_id"), "doc_id")
+    return labelling.pending(docs, w.table(s, d, "labels", "doc_id"), "doc_id", target=11_000)
 
 
 @query

@@ -9,8 +9,8 @@ from pagelens.functions import text as tx
 from pagelens.labels import LABELS, MAX_LABELS_PER_PAGE, UNCATEGORIZED
 from pagelens.operators import ranking
 
-# Size of a labelling run.
-TARGET_ROWS, BATCH_ROWS = 11_000, 500
+# Fixed value: rows of a labelling batch.
+BATCH_ROWS = 500
 
 PROMPT = (
     "Choose one to three topics for this web page, best first, from: {labels}.\n"
@@ -62,34 +62,58 @@ def multi_hot(found: Column, labels=LABELS) -> Column:
     return F.array(*[F.when(F.array_contains(found, name), 1.0).otherwise(0.0) for name in labels])
 
 
-def pending(pages: DataFrame, done: DataFrame, key: str, target: int = TARGET_ROWS, batch: int = BATCH_ROWS) -> DataFrame:
-    """Rows still to label: not labelled yet, in key order until the target is reached, numbered in
-    batches from 0. The key is numeric and unique."""
-    todo = ranking.with_row_numbers(pages.join(done.select(key), key, "left_anti"), key)
-    remaining = F.lit(target) - done.agg(F.count("*").alias("n")).scalar()
-    return (todo.filter(F.col("row_no") <= remaining)
-            .withColumn("batch_no", F.floor((F.col("row_no") - 1) / batch).cast("int")).drop("row_no"))
+def pending(pages: DataFrame, done: DataFrame, key: str, target: int | None = None, batch: int = BATCH_ROWS,
+            order: str | None = None) -> DataFrame:
+    """Rows still to label: their key is not in ``done``; in the order of a numeric column (by default the
+    key), numbered in batches from 0, and only until the target is reached, if there is one.
+
+    The key is unique; rows that tie in the order follow by key.
+    """
+    todo = ranking.with_row_numbers(pages.join(done.select(key), key, "left_anti"), order or key, ties=[key])
+    if target is not None:
+        todo = todo.filter(F.col("row_no") <= F.lit(target) - done.agg(F.count("*").alias("n")).scalar())
+    return todo.withColumn("batch_no", F.floor((F.col("row_no") - 1) / batch).cast("int")).drop("row_no")
+
+
+def is_valid_answer(answer, labels=LABELS) -> bool:
+    """The rule of ``is_valid`` for one answer of a labeller."""
+    found = [x.strip() for x in answer.split(",")] if isinstance(answer, str) else [None]
+    return len(found) <= MAX_LABELS_PER_PAGE and set(found) <= set(labels)
 
 
-def with_retries(label_batch, attempts: int = 5, wait: float = 4.0, longest: float = 60.0, sleep=time.sleep):
-    """Wrap a labeller call so that a failing batch is tried again with growing pauses."""
+def with_retries(label_batch, attempts: int = 5, wait: float = 4.0, longest: float = 60.0, sleep=time.sleep,
+                 valid=is_valid_answer):
+    """Wrap a labeller call: a failing batch is tried again with growing pauses, and so are the rows whose
+    answers are not valid. If the batch still fails, each of its rows is asked for alone once more, so a
+    row that always fails stays the only one without an answer."""
     def call(frame):
-        pause = wait
+        answers, left, pause, failed = [None] * len(frame), list(range(len(frame))), wait, False
         for attempt in range(1, attempts + 1):
             try:
-                return label_batch(frame)
+                found, failed = label_batch(frame.iloc[left]), False
             except Exception:
-                if attempt == attempts:
-                    return [None] * len(frame)
-                sleep(pause * (1 + 0.1 * random.random()))
-                pause = min(2 * pause, longest)
+                failed = True
+            else:
+                for i, answer in zip(left, found):
+                    answers[i] = answer
+                left = [i for i in left if not valid(answers[i])]
+            if not left or attempt == attempts:
+                break
+            sleep(pause * (1 + 0.1 * random.random()))
+            pause = min(2 * pause, longest)
+        for i in left if failed else []:
+            try:
+                answers[i] = list(label_batch(frame.iloc[[i]]))[0]
+            except Exception:
+                pass
+        return answers
     return call
 
 
 def label_pages(pages: DataFrame, label_batch, parallelism: int | None = None, **retry) -> DataFrame:
     """Add ``category`` by calling ``label_batch(pandas frame) -> list of texts`` in every task.
 
-    A batch that keeps failing gives NULL for its rows; ``parallelism`` sets how many tasks call the
+    A row that keeps failing gets NULL; ``parallelism`` sets how many tasks call the
     labeller at the same time.
     """
     if parallelism:

@@ -16,7 +16,7 @@ def new_files(spark: SparkSession, folder: str, max_files_per_trigger: int = 100
 
 
 def extract_new_files(spark: SparkSession, folder: str, out: str, checkpoint: str, language_model,
-                      max_records_per_file: int | None = 1000, max_per_domain: int = 100,
+                      max_records_per_file: int | None = None, max_per_domain: int = 100,
                       target: int | None = None, max_files_per_trigger: int = 100):
     """Extract files that appeared since the last run and append the pages; ends when none is left.
 
@@ -49,18 +49,19 @@ def _rows_in(spark, path):
 
 
 def label_pending(pages: DataFrame, out: str, label_batch, key: str = "url", order: str = "record_no",
-                  target: int = labelling.TARGET_ROWS, parallelism: int | None = None, **retry) -> None:
-    """One resumable labelling run: rows not yet in the output, up to the target, are labelled and
-    appended. The output table is the only state."""
+                  target: int | None = None, parallelism: int | None = None, **retry) -> None:
+    """One resumable labelling run: rows whose key is not yet in the output, up to the target if there is
+    one, are labelled and appended. The output table is the only state. ``order`` decides which rows come
+    first; it may repeat, as record numbers do from file to file, while ``key`` is unique."""
     spark = pages.sparkSession
     tables.require_columns(pages, ["url", "title", "snippet", "language", "meta_description"])
     try:
-        done = spark.read.parquet(out).select(order)
+        done = spark.read.parquet(out).select(key)
         done.schema
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        done = pages.select(order).limit(0)
-    todo = labelling.pending(pages, done, order, target)
+        done = pages.select(key).limit(0)
+    todo = labelling.pending(pages, done, key, target, order=order)
     labelled = labelling.label_pages(todo.withColumn("prompt", labelling.prompt()), label_batch, parallelism, **retry)
     tables.append_parquet(labelling.successful(labelled).drop("prompt", "batch_no"), out)

@@ -144,3 +144,28 @@ def test_trained_model_separates_labels(spark):
     right = sum([float(p) for p in r.pred] == list(r.label_vector) for r in out)
     assert right >= 235
     assert all(len(r.prob) == 11 and r.prob[1] == 0.0 for r in out)
+
+
+def test_a_bad_row_fails_alone_and_invalid_answers_are_asked_for_again(spark):
+    import pandas as pd
+    asked = []
+
+    def labeller(frame):
+        asked.append(len(frame))
+        if "bad" in list(frame["url"]):
+            raise RuntimeError
+        return ["News" if len(asked) > 2 or url != "odd" else "no label" for url in frame["url"]]
+
+    call = labelling.with_retries(labeller, attempts=3, wait=0.0, sleep=lambda s: None)
+    assert call(pd.DataFrame({"url": ["a", "odd"]})) == ["News", "News"] and asked == [2, 1, 1]
+    assert call(pd.DataFrame({"url": ["a", "bad", "b"]})) == ["News", None, "News"]
+
+
+def test_rows_of_several_files_are_all_labelled(spark, tmp_path):
+    from pagelens.streaming import crawl
+    pages = spark.createDataFrame([(f"http://h{f}/{n}", n, "t", "s", "en", "m") for f in range(3) for n in range(1, 6)],
+                                  "url string, record_no long, title string, snippet string, language string, meta_description string")
+    out = str(tmp_path / "labels")
+    for target in (4, 100, None):
+        crawl.label_pending(pages, out, lambda frame: ["News"] * len(frame), target=target)
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == sorted(r.url for r in pages.collect())
