@@ -11,14 +11,13 @@ from pagelens.llm import jaccard, language, packing, passages
 from pagelens.session import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.3  # Below, no language stands out from the others.
 
 
 def identify_language(spark, docs, sf_dir):
-    """Documents whose text has a language; ``lang`` is filled with the prediction where it is missing."""
+    """Documents whose text has letters, so that a language can be told; ``lang`` is filled with the prediction where it is missing."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     model = language.train(docs.filter(~held_out))
-    found = language.predict(docs, model).filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    found = language.predict(docs, model).filter(F.col("lang_pred") != language.UNDETERMINED)
     found = found.groupBy("doc_id").agg(F.first("lang_pred").alias("lang_pred"))
     kept = docs.join(found, "doc_id")
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)

@@ -1,8 +1,8 @@
 """Language identification with a bidirectional gated recurrent network over the bytes of words.
 
 The network reads a word's bytes in both directions and labels every position with a probability for
-each language; a document's probability is the mean over all its positions. Words are the
-network's segments, so each distinct word of a batch is read once, however often it occurs.
+each language; a document's probability is the mean over the positions of its distinct words. Words
+are the network's segments, so each distinct word of a batch is read once, however often it occurs.
 """
 
 from pyspark.sql import Window, functions as F
@@ -177,7 +177,8 @@ def score_words(parameters, words):
 
 
 def predict(docs, model, id_column="doc_id", text_column="text", entries=200_000):
-    """doc_id, lang_pred, score (mean probability over all positions, 0 to 1), n_positions (bytes of letters),
+    """doc_id, lang_pred, score (mean probability over the positions of
+    its distinct words, 0 to 1), n_positions (bytes of letters),
     labels (positions labelled with each language, in the model's order).
 
     Texts that are NULL or have no letter are ``und`` with score 0. Every row is judged on its own text,
@@ -201,7 +202,12 @@ def predict(docs, model, id_column="doc_id", text_column="text", entries=200_000
                 table = np.stack([known.get(w, nothing) for w in distinct]) if distinct else np.zeros((0, width))
                 values = np.stack([sums(table[index, c], offsets) for c in range(width)], axis=1)
                 n = values[:, -1]
-                mean = values[:, :len(languages)] / np.maximum(n, 1)[:, None]
+                # Each word of a document is pooled once, or a word repeated throughout would outweigh the others.
+                size = max(1, len(distinct))
+                once = np.unique(np.repeat(np.arange(len(n)), np.diff(offsets)) * size + index)
+                bounds = np.searchsorted(once, np.arange(len(n) + 1) * size)
+                pooled = np.stack([sums(table[once % size, c], bounds) for c in [*range(len(languages)), width - 1]], axis=1)
+                mean = pooled[:, :-1] / np.maximum(pooled[:, -1:], 1)
                 best = mean.argmax(axis=1) if languages else np.zeros(len(n), int)
                 named = [languages[i] if size else UNDETERMINED for i, size in zip(best, n)]
                 score = np.clip(mean.max(axis=1) if languages else n * 0, 0, 1)
