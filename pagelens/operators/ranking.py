@@ -8,6 +8,8 @@ limits; the limits only balance the tasks.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pagelens.functions.stages import computed
+
 
 def range_limits(df: DataFrame, value: str, depth: int) -> Column:
     """Approximate quantiles of a numeric column as one array, a scalar subquery of the plan."""
@@ -39,6 +41,8 @@ def with_running_totals(df: DataFrame, value: str, totals: dict[str, str], group
     df = df.withColumn("_range", range_number(F.col(value), F.col("_limits"), depth)).drop("_limits")
     if descending:
         df = df.withColumn("_range", -F.col("_range"))
+    # Fixed here: the test of the join key below would otherwise repeat the bisection under the aggregation.
+    df = computed(df, "_range")
     groups = list(groups)
 
     per_range = df.groupBy(*groups, "_range").agg(*[F.sum(c).alias(f"_sum_{t}") for t, c in totals.items()])
