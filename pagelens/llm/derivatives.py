@@ -12,19 +12,19 @@ BLOCKS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure
 
 
 def plain_text(markup: Column) -> Column:
-    """Text of an HTML page, with entities still encoded: a line per block, single blanks inside lines.
+    """Text of an HTML page, with entities still encoded: a line per block, blanks of the markup made single.
 
-    An element of ``UNSHOWN`` or a comment that is not closed reaches to the end of the page, so every
-    expression reads the page once.
+    Comments and elements of ``UNSHOWN`` go from left to right, so a comment mark inside a script is part of
+    the script. A comment, element or tag that is not closed reaches to the end of the page, so every
+    expression reads the page once. Blanks are matched only where they change.
     """
-    page = F.regexp_replace(markup, r"(?s)<!--.*?(?:-->|\z)", " ")
-    for name in UNSHOWN:
-        page = F.regexp_replace(page, rf"(?is)<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)", " ")
-    page = F.regexp_replace(page, r"[\x20\x09-\x0D]+", " ")
-    page = F.regexp_replace(page, rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n")
-    page = F.regexp_replace(page, r"<[A-Za-z/!?][^>]*>", "")
-    page = F.regexp_replace(page, r" *\n[ \n]*", "\n")
-    return F.regexp_replace(page, r"\A[ \n]+|[ \n]+\z", "")
+    hidden = "|".join([r"<!--.*?(?:-->|\z)", *[rf"<{name}\b[^>]*+(?:>.*?(?:</{name}\s*>|\z)|\z)" for name in UNSHOWN]])
+    page = F.regexp_replace(markup, f"(?is){hidden}", " ")
+    page = F.regexp_replace(page, r"[\x09-\x0D][\x20\x09-\x0D]*+|\x20[\x20\x09-\x0D]++", " ")
+    page = F.regexp_replace(page, rf"(?i)</?(?:{BLOCKS})\b[^>]*+(?:>|\z)", "\n")
+    page = F.regexp_replace(page, r"<[A-Za-z/!?][^>]*+(?:>|\z)", "")
+    page = F.regexp_replace(page, r"(?<! ) ++\n[ \n]*+|\n[ \n]++", "\n")
+    return F.btrim(page, F.lit(" \n"))
 
 
 def record_id(*parts: Column) -> Column:
