@@ -6,6 +6,7 @@ common set, and pages whose hidden elements are nested in their own kind or not
 """
 
 import html as _html
+from collections import Counter
 from html.entities import name2codepoint
 from html.parser import HTMLParser
 
@@ -127,10 +128,14 @@ def raw_meta_description(page: Column) -> Column:
 
 
 def drop_hidden(page: Column) -> Column:
-    """Comments and elements that show no text are cut out of the page."""
+    """Comments and elements that show no text are cut out of the page.
+
+    The search for an end stops where an element of the same kind begins, so a page of unclosed elements
+    is read once per kind; what is left of it goes to the parser.
+    """
     raw = "|".join(RAW_HIDDEN)
     page = F.regexp_replace(page, rf"(?is)<!--.*?(?:-->|\z)|<({raw})\b[^>]*>.*?(?:</\1\s*>|\z)", " ")
-    return F.regexp_replace(page, rf"(?is)<({'|'.join(HIDDEN)})\b[^>]*>.*?</\1\s*>", " ")
+    return F.regexp_replace(page, rf"(?is)<({'|'.join(HIDDEN)})\b[^>]*>(?:(?!<\1\b).)*?</\1\s*>", " ")
 
 
 def has_irregular_hidden(rest: Column) -> Column:
@@ -149,21 +154,26 @@ class _VisibleText(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open, self.pieces = [], []
         self.skip = set(HIDDEN) | set(RAW_HIDDEN)
+        self.n_open, self.n_skipped = Counter(), 0  # Open elements of each tag, and of those that show no text.
 
     def handle_starttag(self, tag, attrs):
         if tag not in _VOID:
             self.open.append(tag)
+            self.n_open[tag] += 1
+            self.n_skipped += tag in self.skip
 
     def handle_startendtag(self, tag, attrs):
         pass
 
     def handle_endtag(self, tag):
-        if tag in self.open:
-            while self.open.pop() != tag:
-                pass
+        last = None
+        while last != tag and self.n_open[tag]:
+            last = self.open.pop()
+            self.n_open[last] -= 1
+            self.n_skipped -= last in self.skip
 
     def handle_data(self, data):
-        if not self.skip.intersection(self.open):
+        if not self.n_skipped:
             self.pieces.append(data)
 
 

@@ -11,8 +11,8 @@ from pagelens.session import ensure_checkpoint_dir
 
 NOISE = -1
 
-# Up to this many clusters their mean vectors travel inside the plan; beyond it they are joined in chunks.
-CLUSTERS_IN_PLAN = 2000
+# Items meet the clusters' mean vectors in chunks of about this many.
+CLUSTERS_PER_CHUNK = 500
 
 
 def encoded(texts: DataFrame, encode_batch, text: str = "text", out: str = "embedding") -> DataFrame:
@@ -182,14 +182,14 @@ def silhouette(clustered: DataFrame, key: str, cluster: str = "cluster", vector:
     clusters = mean_vectors(units, "cluster", "u").checkpoint()
     n_clusters = clusters.count()
     as_list = F.collect_list(F.struct("cluster", "n", F.col("embedding").alias("c")))
-    if n_clusters <= CLUSTERS_IN_PLAN:
-        placed = units.withColumn("others", clusters.agg(as_list.alias("l")).scalar())
-        return _mean_silhouette(_compare(placed, ["cluster"]), n_clusters)
-
-    chunks = -(-n_clusters // CLUSTERS_IN_PLAN)
+    # Items are dealt into parts by a hash; each part meets every chunk, so no join key holds all items.
+    chunks = max(1, -(-n_clusters // CLUSTERS_PER_CHUNK))
+    dealt = int(clustered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = (clusters.withColumn("chunk", F.pmod(F.xxhash64("cluster"), F.lit(chunks)).cast("int"))
-              .groupBy("chunk").agg(as_list.alias("others")))
-    placed = units.select("*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).join(pieces, "chunk")
+              .groupBy("chunk").agg(as_list.alias("others"))
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(dealt - 1)))))
+    placed = units.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(dealt)).cast("int"))
+    placed = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).join(pieces, ["part", "chunk"])
     parts = _compare(placed, ["key", "cluster"]).groupBy("key", "cluster").agg(
         F.max("own").alias("own"), F.max("n").alias("n"), F.min("b").alias("b"))
     return _mean_silhouette(parts, n_clusters)

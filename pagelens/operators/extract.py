@@ -26,6 +26,8 @@ def split_payload(records: DataFrame, payload: str = "payload") -> DataFrame:
 def with_page_parts(pages: DataFrame, sentences: int = 2, keep_xml: bool = False) -> DataFrame:
     """Add title, snippet, meta description and domain; the page itself is dropped."""
     if not keep_xml:
+        # Fixed first, or the filter would cut the page out of its payload again for each mark.
+        pages = computed(pages, "html")
         pages = pages.filter(~html.is_xml(F.col("html")))
     df = pages.withColumns({"title": html.raw_title(F.col("html")),
                             "meta_description": html.raw_meta_description(F.col("html"))})

@@ -70,6 +70,7 @@ def train(texts: DataFrame, text: str = "text", language: str = "lang") -> Pipel
 
 
 def with_language(df: DataFrame, model: PipelineModel, text: str = "snippet") -> DataFrame:
-    """Add ``language``. Scoring is a narrow step: no join, no shuffle."""
-    scored = model.transform(df.withColumn("_grams", trigrams(F.col(text))))
-    return scored.select(*df.columns, "language")
+    """Add ``language``, NULL for a text that is NULL or has no letter. Scoring is a narrow step: no join,
+    no shuffle."""
+    scored = model.transform(df.withColumn("_grams", trigrams(F.coalesce(F.col(text), F.lit("")))))
+    return scored.select(*df.columns, F.when(F.col(text).rlike(r"\p{L}"), F.col("language")).alias("language"))

@@ -10,11 +10,11 @@ def extracted_pages(records: DataFrame, language_model, max_per_domain: int = ex
                     keep_xml: bool = False) -> DataFrame:
     """WARC records to the extracted-pages table. One shuffle: the cap per file and domain.
 
-    Only pages that are kept count towards the cap, so it comes after the language step; the text is
+    Pages whose language cannot be told are dropped. Only pages that are kept count towards the cap, so it comes after the language step; the text is
     sanitised last, for kept pages only.
     """
     pages = extract.with_page_parts(extract.split_payload(records), keep_xml=keep_xml)
-    pages = language.with_language(extract.usable(pages), language_model)
+    pages = language.with_language(extract.usable(pages), language_model).filter("language is not null")
     capped = extract.cap_per_domain(pages, max_per_domain)
     return extract.sanitised(capped).select(*schemas.EXTRACTED.fieldNames(), "warc_file", "record_no")
 

@@ -70,9 +70,9 @@ def silhouette(vectors):
     return np.mean(scores)
 
 
-@pytest.mark.parametrize("in_plan", [2000, 1])
-def test_silhouette_equals_all_pairs(monkeypatch, spark, vectors, in_plan):
-    monkeypatch.setattr(embedding, "CLUSTERS_IN_PLAN", in_plan)
+@pytest.mark.parametrize("per_chunk", [500, 1])
+def test_silhouette_equals_all_pairs(monkeypatch, spark, vectors, per_chunk):
+    monkeypatch.setattr(embedding, "CLUSTERS_PER_CHUNK", per_chunk)
     data = vectors + [(99, [1.0] * 8, 7)]  # a singleton cluster
     df = spark.createDataFrame(data, "id int, embedding array<double>, cluster int").repartition(3)
     assert embedding.silhouette(df, "id").first().silhouette == pytest.approx(silhouette(data))

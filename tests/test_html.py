@@ -98,3 +98,14 @@ def test_cap_is_exact_for_a_hot_domain(spark):
     hot = sorted(r.record_no for r in out.filter("domain = 'hot'").collect())
     assert hot == [3 * i for i in range(100)]
     assert out.count() == 100 + 5000 - 1667
+
+
+def test_unclosed_hidden_elements_take_linear_time(spark):
+    import time
+    page = "<p>before</p>" + "<nav>menu <b>" * 20_000
+    nested = "<nav>a<nav>b</nav>c</nav>d<form>e</form><header><form>f</form></header>g"
+    df = spark.createDataFrame([(page,), (nested,)], "html string")
+    html.with_visible_text(df.limit(0), "html", "t").collect()
+    start = time.time()
+    found = [r.t for r in html.with_visible_text(df, "html", "t").collect()]
+    assert found == ["before", "d g"] and time.time() - start < 20

@@ -18,9 +18,9 @@ def language_model(spark):
 
 
 def test_language(spark, language_model):
-    df = spark.createDataFrame([(1, "the river and the dog"), (2, "der hund und das haus"), (3, "")], "id int, snippet string")
+    df = spark.createDataFrame([(1, "the river and the dog"), (2, "der hund und das haus"), (3, ""), (4, None), (5, "12 !")], "id int, snippet string")
     got = {r.id: r.language for r in language.with_language(df, language_model).collect()}
-    assert (got[1], got[2]) == ("en", "de")
+    assert got == {1: "en", 2: "de", 3: None, 4: None, 5: None}
 
 
 def write_warc(path, pages):
