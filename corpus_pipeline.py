@@ -14,27 +14,34 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark, docs, sf_dir):
-    """Documents whose text has letters, so that a language can be told; ``lang`` is filled with the prediction where it is missing."""
+    """Documents whose text has letters, so that a language can be told; ``lang`` is filled with the prediction where
+    it is missing. Rows are judged one by one, so rows with equal or NULL ids stay as they are."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     model = language.train(docs.filter(~held_out))
-    found = language.predict(docs, model).filter(F.col("lang_pred") != language.UNDETERMINED)
-    found = found.groupBy("doc_id").agg(F.first("lang_pred").alias("lang_pred"))
-    kept = docs.join(found, "doc_id")
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    found = language.predict(docs, model, carried=["lang", "source", "n_chars"]).filter(F.col("lang_pred") != language.UNDETERMINED)
+    return found.select("doc_id", "text", F.coalesce("carried.lang", "lang_pred").alias("lang"), "carried.source", "carried.n_chars")
 
 
 def join_near_copies(spark, docs, sf_dir):
-    """One document of each group of near copies, the one with the smallest id."""
+    """One document of each group of near copies, the one with the smallest id.
+
+    Rows with equal ids and texts count once. An id with several texts stays with all of them if one names
+    its group. The ids to keep are a written table, whose size Spark knows: it broadcasts them only below
+    its limit, and the texts are shuffled only above.
+    """
     groups = jaccard.similar_groups(docs, percent=80, size=5)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("_kept"), F.count(F.lit(1)).alias("_rows"))
+    ids = jaccard.stored(ids.filter("_kept").select(F.col("doc_id").alias("_id"), (F.col("_rows") > 1).alias("_repeated")), "kept")
+    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")))
+    repeated = kept.filter("_repeated").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    return kept.filter("NOT _repeated").select(*COLUMNS).union(repeated)
 
 
 def drop_passages(spark, docs, sf_dir):
-    """Texts without the passages that an earlier document has; documents of which nothing is left go."""
-    rest = passages.drop_repeats(docs).select("doc_id", "text").filter(F.trim("text") != "")
-    about = docs.select("doc_id", "lang", "source")
-    return rest.join(about, "doc_id").withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    """Texts without the passages that an earlier document has; documents of which nothing is left go.
+    Rows with equal ids keep a row each."""
+    rest = passages.drop_repeats(docs, carried=["lang", "source"]).filter(F.trim("text") != "")
+    return rest.select("doc_id", "text", "carried.lang", "carried.source", F.char_length("text").cast("long").alias("n_chars"))
 
 
 def pack_windows(spark, docs, sf_dir):

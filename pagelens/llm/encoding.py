@@ -117,6 +117,18 @@ def with_end(ids, n, end_id):
     return np.insert(ids, np.cumsum(n), end_id), n + 1
 
 
-def documents(docs, id_column="doc_id", text_column="text"):
-    """The id and whole text of every document; other columns, whatever their names, are left behind."""
-    return docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
+def documents(docs, id_column="doc_id", text_column="text", carried=()):
+    """The id and whole text of every document; other columns, whatever their names, are left behind, but for
+    ``carried``, which come along in a struct of that name."""
+    return docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"), *struct_of(docs, carried))
+
+
+def struct_of(docs, carried):
+    """A list of one struct column ``carried``, or of none."""
+    from pyspark.sql import functions as F
+    return [F.struct(*[docs[c] for c in carried]).alias("carried")] if carried else []
+
+
+def with_types(rows, schema, *names):
+    """``schema`` and the types that ``rows`` has for ``names``, as DDL."""
+    return ", ".join([schema, *[f"{name} {rows.schema[name].dataType.simpleString()}" for name in names]])

@@ -7,7 +7,7 @@ are the network's segments, so each distinct word of a batch is read once, howev
 
 from pyspark.sql import Window, functions as F
 
-from pagelens.llm.encoding import documents, parts_of, sums, text_slices
+from pagelens.llm.encoding import documents, parts_of, sums, text_slices, with_types
 
 UNDETERMINED = "und"
 LONGEST = 24  # Bytes read at a time; the rest of a longer word is a segment of its own.
@@ -176,22 +176,28 @@ def score_words(parameters, words):
     return out
 
 
-def predict(docs, model, id_column="doc_id", text_column="text", entries=200_000):
+def predict(docs, model, id_column="doc_id", text_column="text", entries=200_000, carried=()):
     """doc_id, lang_pred, score (mean probability over the positions of
     its distinct words, 0 to 1), n_positions (bytes of letters),
     labels (positions labelled with each language, in the model's order).
 
     Texts that are NULL or have no letter are ``und`` with score 0. Every row is judged on its own text,
-    so rows with equal ids keep their own results. ``entries`` bounds the memory of known words.
+    so rows with equal ids keep their own results. ``entries`` bounds the memory of known words. If columns
+    are ``carried``, the result also has the text as it was and a struct ``carried`` of them, so that no join
+    is needed to find them again.
     """
     languages, parameters = model
+    names = ["text", "carried"] if carried else []
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
         known, width = {}, 2 * len(languages) + 1
         for batch in batches:
+            at = 0
             for keys, texts in text_slices(batch):
+                more = [batch.column(1 + i).slice(at, len(keys)) for i in range(len(names))]
+                at += len(keys)
                 distinct, index, offsets = words_of(texts)
                 if len(known) > entries:
                     known.clear()
@@ -214,7 +220,8 @@ def predict(docs, model, id_column="doc_id", text_column="text", entries=200_000
                 labels = [row.tolist() for row in values[:, len(languages):-1].astype("int64")]
                 yield pa.RecordBatch.from_arrays(
                     [keys, pa.array(named, "string"), pa.array(np.round(score, 4)), pa.array(n.astype("int64")),
-                     pa.array(labels, pa.list_(pa.int64()))], ["doc_id", "lang_pred", "score", "n_positions", "labels"])
+                     pa.array(labels, pa.list_(pa.int64())), *more], ["doc_id", "lang_pred", "score", "n_positions", "labels", *names])
 
-    return documents(docs, id_column, text_column).mapInArrow(
-        run, "doc_id long, lang_pred string, score double, n_positions long, labels array<long>")
+    rows = documents(docs, id_column, text_column, carried)
+    return rows.mapInArrow(
+        run, with_types(rows, "doc_id long, lang_pred string, score double, n_positions long, labels array<long>", *names))

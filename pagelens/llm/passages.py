@@ -2,15 +2,17 @@
 
 from pyspark.sql import functions as F
 
+from pagelens.llm.encoding import struct_of, with_types
+
 # A unit ends with a run of sentence ends or line ends, or with the text; so units cover the whole text.
 UNIT = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def keyed(docs, id_column, text_column):
+def keyed(docs, id_column, text_column, carried=()):
     """doc_id, text_hash and text: the first two tell rows apart, and rank them."""
     text = docs[text_column].cast("string")
-    return docs.select(docs[id_column].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return docs.select(docs[id_column].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"), *struct_of(docs, carried))
 
 
 def units(rows, min_words):
@@ -56,14 +58,17 @@ def repeated_spans(docs, min_words=5, id_column="doc_id", text_column="text"):
         "doc_id", "text_hash", "start", "stop")
 
 
-def drop_repeats(docs, min_words=5, id_column="doc_id", text_column="text"):
+def drop_repeats(docs, min_words=5, id_column="doc_id", text_column="text", carried=()):
     """Documents without repeated units, and where the rest came from.
 
     Columns: doc_id, text (what is left), n_removed (units), removed and kept (arrays of start and stop in
     code points of the original text, neighbours merged). A document of which nothing is left keeps its
     row with an empty text. NULL texts stay NULL and empty ones empty. Rows that agree in id and text
-    have equal places and keep equal texts. An empty table gives an empty result.
+    have equal places and keep equal texts. An empty table gives an empty result. Columns that are
+    ``carried`` come along in a struct of that name.
     """
+    names = ["carried"] if carried else []
+
     def cut(batches):
         import pyarrow as pa
         span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
@@ -87,15 +92,15 @@ def drop_repeats(docs, min_words=5, id_column="doc_id", text_column="text"):
                     removed.append(gone)
                     kept.append(left)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, "string"), pa.array(counts, "int64"),
-                                                  pa.array(removed, span), pa.array(kept, span)],
-                                                 ["doc_id", "text", "n_removed", "removed", "kept"])
+                                                  pa.array(removed, span), pa.array(kept, span), *part.columns[3:]],
+                                                 ["doc_id", "text", "n_removed", "removed", "kept", *names])
 
-    rows = keyed(docs, id_column, text_column)
+    rows = keyed(docs, id_column, text_column, carried)
     spans = repeated_spans(docs, min_words, id_column, text_column)
     # One list per document, no longer than its text; equal rows give equal spans, which count once.
     spans = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
     both = rows.join(spans, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["text_hash"] == F.col("_hash")), "left")
     span = "array<struct<start:int,stop:int>>"
-    return both.select("doc_id", "text", "spans").mapInArrow(
-        cut, f"doc_id long, text string, n_removed long, removed {span}, kept {span}")
+    return both.select("doc_id", "text", "spans", *names).mapInArrow(
+        cut, with_types(rows, f"doc_id long, text string, n_removed long, removed {span}, kept {span}", *names))

@@ -41,3 +41,24 @@ def test_stages(spark):
             assert {r.doc_id: r.text for r in docs.collect()} == expected
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
     assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()}
+
+
+def test_stages_odd_rows(spark):
+    """NULLs, repeated rows, equal ids with other texts, empty tables: no row is multiplied or lost."""
+    a, b = " ".join(f"word{c}" for c in "abcdefghijklmnop"), " ".join(f"term{c}" for c in "abcdefghijklmnop")
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, b, None, None, None), (2, a + " end", "en", "s", 1), (3, None, "en", "s", 1),
+            (4, "", None, "s", 1), (None, "no id for these words here", None, "s", None), (5, "12 34", "en", "s", 1), (6, "unlike every other text there is", "de", "t", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER).cache()
+        assert docs.columns == corpus_pipeline.COLUMNS
+        found[name] = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    whole = {None: "no id for these words here", 6: "unlike every other text there is"}
+    assert found["language"] == sorted([(1, a), (1, a), (1, b), (2, a + " end"), *whole.items()], key=str)
+    assert found["near_copies"] == found["passages"] == sorted([(1, a), (1, b), *whole.items()], key=str)
+    assert {r.doc_id: r.lang for r in docs.collect()}[6] == "de" and all(r.lang for r in docs.collect())
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
+    assert sorted(str(r.doc_id) for r in pieces if r.start == 0) == ["1", "1", "6", "None"]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0
