@@ -88,15 +88,15 @@ def total_counts(profiled):
 
 
 def prefixes(texts, size, percent, counts):
-    """Prefix shingles of each set that a task meets: gram, doc_id, n, pos (place in the rare-first order)."""
+    """Prefix shingles of each set that a task meets: gram, node, n, pos (place in the rare-first order)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
         often, seen = counts.value, set()
         for batch in batches:
-            for keys, found in text_slices(batch, SLICE):
-                grams_of, docs, n_of, pos_of = [], [], [], []
-                for doc, grams in zip(keys.to_pylist(), shingle_sets(found, size)):
+            for _, found in text_slices(batch, SLICE):
+                grams_of, nodes, n_of, pos_of = [], [], [], []
+                for grams in shingle_sets(found, size):
                     n = len(grams)
                     node = digest(grams) if n else None
                     if node is None or node in seen:
@@ -105,29 +105,26 @@ def prefixes(texts, size, percent, counts):
                     keep = n - -(-percent * n // 100) + 1
                     order = np.lexsort((grams, often[(grams & np.uint64(SLOTS - 1)).astype("int64")]))[:keep]
                     grams_of.append(grams[order].view("int64"))
-                    docs += [doc] * len(order)
+                    nodes += [node] * len(order)
                     n_of.append(np.full(len(order), n, "int32"))
                     pos_of.append(np.arange(len(order), dtype="int32"))
-                if docs:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_of)), pa.array(docs, "int64"), pa.array(np.concatenate(n_of)),
-                                                      pa.array(np.concatenate(pos_of))], ["gram", "doc_id", "n", "pos"])
+                if nodes:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_of)), pa.array(nodes, "binary"), pa.array(np.concatenate(n_of)),
+                                                      pa.array(np.concatenate(pos_of))], ["gram", "node", "n", "pos"])
 
-    return texts.mapInArrow(run, "gram long, doc_id long, n int, pos int")
+    return texts.mapInArrow(run, "gram long, node binary, n int, pos int")
 
 
-def shared_prefixes(texts, members, size, percent, counts):
+def shared_prefixes(texts, size, percent, counts):
     """Prefix shingles that more than one node has: gram, node, n, pos.
 
-    Documents stand for their nodes until the shingles of one document alone are gone. Where an id occurs
-    with several texts, each text's shingles meet all its nodes; this adds candidates and loses none.
+    Every row carries its node, so n and pos are those of the node whatever ids the texts have.
     """
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = F.count(F.lit(1)).over(Window.partitionBy("gram"))
-    places = prefixes(texts, size, percent, counts).repartition(partitions, "gram").withColumn("_df", many).filter("_df > 1").drop("_df")
-    named = members.filter("node IS NOT NULL").select(F.col("doc_id").alias("_id"), "node").distinct()
-    places = places.join(named, F.col("doc_id").eqNullSafe(F.col("_id"))).select("gram", "node", "n", "pos")
-    places = places.repartition(partitions, "gram").dropDuplicates(["gram", "node"]).withColumn("_df", many)
-    return places.filter("_df > 1").drop("_df")
+    by_gram = Window.partitionBy("gram")
+    places = prefixes(texts, size, percent, counts).repartition(partitions, "gram")
+    places = places.withColumn("_first", F.min("node").over(by_gram)).withColumn("_last", F.max("node").over(by_gram))
+    return places.filter("_first <> _last").select("gram", "node", "n", "pos").dropDuplicates(["gram", "node"])
 
 
 def whole_sets(texts, size, needed):
@@ -194,7 +191,7 @@ def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="te
     members = profiled.filter("block IS NULL").select("doc_id", "n", "node", "bins")
     nodes = stored(members.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bins").alias("bins")), "nodes")
-    shared = stored(shared_prefixes(texts, members, size, percent, counts), "prefixes")
+    shared = stored(shared_prefixes(texts, size, percent, counts), "prefixes")
     links = joined(texts, shared, nodes.select("node", "n", "bins"), size, percent)
 
     groups = components(links)

@@ -131,6 +131,17 @@ def test_jaccard_groups(spark, rows):
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == expected
 
 
+def test_jaccard_repeated_ids(spark):
+    """Texts with one id, or without any, never lend each other the lengths and places of their shingles."""
+    counts = spark.sparkContext.broadcast(np.zeros(jaccard.SLOTS, "int64"))
+    for key in (7, None):
+        rows = [(key, " ".join(f"w{i}" for i in range(k, k + 6 + k % 40))) for k in range(0, 90, 3)]
+        texts = jaccard.documents(table(spark, rows).coalesce(2))
+        own = {(r.gram, bytes(r.node)): (r.n, r.pos) for r in jaccard.prefixes(texts, 5, 80, counts).collect()}
+        shared = jaccard.shared_prefixes(texts, 5, 80, counts).collect()
+        assert shared and all(own[r.gram, bytes(r.node)] == (r.n, r.pos) for r in shared)
+
+
 def test_fingerprints(spark, rows):
     plain = [(i, t) for i, t in rows if i is not None and [j for j, _ in rows].count(i) == 1]
     found = {r.doc_id: r for r in fingerprint.fingerprints(table(spark, plain)).collect()}
