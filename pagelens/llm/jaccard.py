@@ -5,10 +5,13 @@ rarest first, by their counts over all documents (in a table of fixed size, so e
 have equal counts). Two sets that are similar enough share a shingle of their prefixes; such pairs pass
 length, positional and suffix filters, and the rest is verified with the whole sets, once per pair.
 
-Pairs of nodes that are known to be connected are not looked at again, so a group of many near copies
-is joined through few of its pairs: first every node with the smallest node of each prefix shingle,
-then with a neighbour in an order that differs from shingle to shingle, at last every pair that is
-left. The last step leaves nothing out, whatever the first two have found.
+The groups are found first, and there pairs of nodes that are known to be connected are not looked at
+again: first every node meets the smallest node of each prefix shingle, then a neighbour in an order
+that differs from shingle to shingle, at last every node of another group. The last step leaves no
+group apart that a link joins.
+
+All links lie inside the groups. Where they are asked for, the whole sets of each group are cut into
+blocks, and every pair of its nodes is compared once, in the one cell that has both their blocks.
 """
 
 from pyspark.sql import Window, functions as F
@@ -22,6 +25,9 @@ SLOTS = 1 << 18  # Counters of shingles: 2 MB on the driver and in each task, fo
 BLOCK = 1 << 12
 SLICE = 2 << 20  # Bytes of text that are cut into shingles at a time.
 BINS = 64  # The suffix filter compares how many shingles fall into each part of the hash range.
+CELL = 1 << 17  # Shingles in a block of a group's sets, about; a set is never cut.
+CELL_NODES = 1 << 10  # Nodes in a block, about.
+WIDTH = 1 << 10  # Shingles that a cell multiplies at a time.
 NEEDED_BITS = 20  # Before the exact join, whole sets are looked up in a bit table of this size.
 
 
@@ -174,15 +180,8 @@ def suffix_filter(x, y, n1, n2, percent):
     return full | enough(common, n1, n2, percent)
 
 
-def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="text"):
-    """One row per document: doc_id, n_shingles, node (digest of its set), component_id (the smallest document id
-    that links reach), copies (documents with the same set).
-
-    Texts without words, empty and NULL texts have no shingles, link with nothing, and are their own
-    component. Rows with equal ids keep a row each. A NULL id counts as larger than all others, so it
-    names a component only when all its ids are NULL. Extra columns are left behind; an empty table
-    gives an empty result.
-    """
+def grouped(docs, percent, size, id_column, text_column):
+    """Texts, members (doc_id, n, node) and nodes (node, n, rep, copies, label of the group) of a table."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     texts = documents(docs, id_column, text_column)
@@ -193,14 +192,121 @@ def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="te
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bins").alias("bins")), "nodes")
     shared = stored(shared_prefixes(texts, size, percent, counts), "prefixes")
     links = joined(texts, shared, nodes.select("node", "n", "bins"), size, percent)
+    named = nodes.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return texts, members, named.select("node", "n", "rep", "copies", "label")
+
 
-    groups = components(links)
-    named = nodes.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = named.join(smallest, "label").select("node", "copies", "component_id")
+def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="text", links=False):
+    """One row per document: doc_id, n_shingles, node (digest of its set), component_id (the smallest document id
+    that links reach), copies (documents with the same set); with ``links`` also n_links (other documents that
+    are similar enough, copies among them).
+
+    Texts without words, empty and NULL texts have no shingles, link with nothing, and are their own
+    component. Rows with equal ids keep a row each. A NULL id counts as larger than all others, so it
+    names a component only when all its ids are NULL. Extra columns are left behind; an empty table
+    gives an empty result. Without ``links`` only the links that connect the groups are looked for.
+    """
+    texts, members, nodes = grouped(docs, percent, size, id_column, text_column)
+    smallest = nodes.groupBy("label").agg(F.min("rep").alias("component_id"))
+    named = nodes.join(smallest, "label").select("node", "copies", "component_id")
+    more = []
+    if links:
+        number = compared(texts, nodes, size, percent, "counts").groupBy("node").agg(F.sum("n_links").alias("_others"))
+        named = named.join(number, "node", "left").withColumn("n_links", F.coalesce("_others", F.lit(0)) + F.col("copies") - 1)
+        more = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     return members.join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("copies", F.lit(1)).alias("copies"))
+        F.coalesce("copies", F.lit(1)).alias("copies"), *more)
+
+
+def similar_pairs(docs, percent=80, size=5, id_column="doc_id", text_column="text"):
+    """Every pair of different sets that are similar enough, once: a, b (digests, a < b), n_a, n_b, n_common,
+    copies_a, copies_b. The documents of a set are the rows of ``similar_groups`` with its node; copies are
+    similar to each other without a row here."""
+    texts, _, nodes = grouped(docs, percent, size, id_column, text_column)
+    return compared(texts, nodes, size, percent, "pairs")
+
+
+def cells(nodes):
+    """The cells of each node of a group of several: node, copies, label, i, j, first (its block is i), second (it is j)."""
+    total = nodes.groupBy("label").agg(F.sum("n").alias("_sum"), F.count(F.lit(1)).alias("_nodes")).filter("_nodes > 1")
+    blocks = F.greatest(F.ceil(F.col("_sum") / CELL), F.ceil(F.col("_nodes") / CELL_NODES)).cast("long")
+    block, other = F.pmod(F.xxhash64("node"), F.col("_blocks")).alias("_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_other")
+    placed = nodes.join(total.select("label", blocks.alias("_blocks")), "label").select("node", "copies", "label", block, other)
+    placed = placed.withColumn("i", F.least("_block", "_other")).withColumn("j", F.greatest("_block", "_other"))
+    return placed.select("node", "copies", "label", "i", "j", (F.col("_block") == F.col("i")).alias("first"), (F.col("_block") == F.col("j")).alias("second"))
+
+
+def common_shingles(sets, first, second):
+    """Numbers of common shingles of the sets at the places ``first`` with those at ``second``."""
+    import numpy as np
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1
+    keep = often[place]
+    row, column = row[keep], (np.cumsum(often) - 1)[place[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    found = np.zeros((len(first), len(second)), "int64")
+    for start in range(0, int(often.sum()), WIDTH):
+        a, b = np.searchsorted(column, (start, start + WIDTH))
+        dense = np.zeros((len(sets), WIDTH), "float32")
+        dense[row[a:b], column[a:b] - start] = 1
+        found += (dense[first] @ dense[second].T).astype("int64")  # At most WIDTH, so exact.
+    return found
+
+
+def compared(texts, nodes, size, percent, result):
+    """All pairs of different nodes of each group by their whole sets, each pair once. ``result`` is "pairs", or
+    "counts": node and n_links, to be added up, the documents of the other nodes it links with."""
+    schema = {"counts": "node binary, n_links long",
+              "pairs": "a binary, b binary, n_a long, n_b long, n_common long, copies_a long, copies_b long"}[result]
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = stored(cells(nodes), "cells")
+    needed = texts.sparkSession.sparkContext.broadcast(bit_table(placed.select(F.col("node").alias("a"), F.col("node").alias("b"))))
+    sets = whole_sets(texts, size, needed).dropDuplicates(["node"])
+    rows = placed.join(sets, "node").repartition(partitions, "label", "i", "j").sortWithinPartitions("label", "i", "j")
+
+    def cell(found):
+        import numpy as np
+        import pyarrow as pa
+        nodes, copies, sets, first, second = zip(*found)
+        copies, n = np.array(copies), np.array([len(s) for s in sets])
+        first, second = np.flatnonzero(first), np.flatnonzero(second)
+        common = common_shingles(sets, first, second)
+        similar = (100 + percent) * common >= percent * (n[first][:, None] + n[second])
+        if np.array_equal(first, second):
+            similar &= np.arange(len(first))[:, None] < np.arange(len(second))
+        x, y = np.nonzero(similar)
+        if result == "counts":
+            total = np.zeros(len(nodes), "int64")
+            np.add.at(total, first[x], copies[second[y]])
+            np.add.at(total, second[y], copies[first[x]])
+            return [pa.RecordBatch.from_arrays([pa.array(nodes, "binary"), pa.array(total)], ["node", "n_links"])]
+        number = common[x, y]
+        x, y = first[x], second[y]
+        swap = np.array([nodes[a] > nodes[b] for a, b in zip(x, y)], bool)
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        columns = [pa.array([nodes[a] for a in x], "binary"), pa.array([nodes[b] for b in y], "binary"),
+                   *map(pa.array, (n[x], n[y], number, copies[x], copies[y]))]
+        whole = pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b", "n_common", "copies_a", "copies_b"])
+        return [whole.slice(at, 10000) for at in range(0, whole.num_rows, 10000)]
+
+    def run(batches):
+        now, found = None, []
+        for batch in batches:
+            lists = batch.column("grams")
+            for k, (label, i, j, *row) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("label", "i", "j", "node", "copies", "first", "second")])):
+                if now != (label, i, j):
+                    if found:
+                        yield from cell(found)
+                    now, found = (label, i, j), []
+                node, copies, first, second = row
+                found.append((node, copies, lists[k].values.to_numpy(), first, second))
+        if found:
+            yield from cell(found)
+
+    return rows.mapInArrow(run, schema)
 
 
 def bit_table(pairs):

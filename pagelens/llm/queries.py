@@ -45,6 +45,13 @@ def op3_fingerprints(spark, folder):
     return fingerprint.fingerprints(documents(spark, folder))
 
 
+@query
+def op2_ngram_jaccard_links(spark, folder):
+    """The same groups, with the number of similar documents of each: the whole join."""
+    found = jaccard.similar_groups(documents(spark, folder), percent=80, size=5, links=True)
+    return found.select("doc_id", "n_shingles", "component_id", "copies", "n_links")
+
+
 def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
@@ -140,6 +147,9 @@ SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles, min(t.doc_id) AS co
 FROM s JOIN reach ON s.row_id = reach.a JOIN s t ON t.row_id = reach.b JOIN copies k ON k.grams = list_sort(s.grams)
 GROUP BY s.row_id, s.doc_id, s.grams"""
 
+ORACLES["op2_ngram_jaccard_links"] = ORACLES["op2_ngram_jaccard_join"].replace(
+    "AS copies\nFROM s JOIN reach", "AS copies, (SELECT count(*) FROM e WHERE e.a = s.row_id) AS n_links\nFROM s JOIN reach")
+
 ORACLES["op5_exact_top_k"] = """
 WITH v AS MATERIALIZED (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector FROM embeddings

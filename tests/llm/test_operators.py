@@ -142,6 +142,22 @@ def test_jaccard_repeated_ids(spark):
         assert shared and all(own[r.gram, bytes(r.node)] == (r.n, r.pos) for r in shared)
 
 
+def test_jaccard_links(spark, rows, monkeypatch):
+    """Every pair of different sets once, and all links of each row, in cells of any size."""
+    sets = [shingles(t) for _, t in rows]
+    similar = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    number = collections.Counter(x for pair in similar for x in pair)
+    expected = collections.Counter((i, len(sets[a]), number[a]) for a, (i, _) in enumerate(rows))
+    pairs = collections.Counter(tuple(sorted((len(sets[a]), len(sets[b])))) + (len(sets[a] & sets[b]),)
+                                for a, b in {tuple(sorted((sets.index(sets[a]), sets.index(sets[b])))) for a, b in similar} if a != b)
+    found = jaccard.similar_groups(table(spark, rows), links=True).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.n_links) for r in found) == expected
+    monkeypatch.setattr(jaccard, "CELL", 700)
+    listed = jaccard.similar_pairs(table(spark, rows)).collect()
+    assert len({(bytes(r.a), bytes(r.b)) for r in listed}) == len(listed) and all(r.a < r.b for r in listed)
+    assert collections.Counter(tuple(sorted((r.n_a, r.n_b))) + (r.n_common,) for r in listed) == pairs
+
+
 def test_fingerprints(spark, rows):
     plain = [(i, t) for i, t in rows if i is not None and [j for j, _ in rows].count(i) == 1]
     found = {r.doc_id: r for r in fingerprint.fingerprints(table(spark, plain)).collect()}
