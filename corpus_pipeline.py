@@ -25,16 +25,20 @@ def identify_language(spark, docs, sf_dir):
 def join_near_copies(spark, docs, sf_dir):
     """One document of each group of near copies, the one with the smallest id.
 
-    Rows with equal ids and texts count once. An id with several texts stays with all of them if one names
-    its group. The ids to keep are a written table, whose size Spark knows: it broadcasts them only below
-    its limit, and the texts are shuffled only above.
+    The decision is made for a shingle set and an id, so texts that share an id, or have none, are judged
+    by their own groups; ties go to the smallest digest, then to the smallest text. Texts without words are
+    in no group and stay, but rows of these with equal ids and texts count once. The sets to keep are a
+    written table, whose size Spark knows: it broadcasts them only below its limit, and the texts are
+    shuffled only above.
     """
-    groups = jaccard.similar_groups(docs, percent=80, size=5)
-    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    ids = jaccard.stored(ids.filter("_kept").select(F.col("doc_id").alias("_id"), (F.col("_rows") > 1).alias("_repeated")), "kept")
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")))
-    repeated = kept.filter("_repeated").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    return kept.filter("NOT _repeated").select(*COLUMNS).union(repeated)
+    groups = jaccard.similar_groups(docs, percent=80, size=5).filter("first AND node IS NOT NULL")
+    sets = groups.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    sets = jaccard.stored(sets.select(F.col("node").alias("_node"), F.col("doc_id").alias("_id"), (F.col("_rows") > 1).alias("_repeated")), "kept")
+    rows = jaccard.with_nodes(docs, COLUMNS, size=5)
+    kept = rows.join(sets, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    repeated = kept.filter("_repeated").groupBy("node").agg(F.min(F.struct("text", *[c for c in COLUMNS if c != "text"])).alias("_row"))
+    wordless = rows.filter("node IS NULL").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    return kept.filter("NOT _repeated").select(*COLUMNS).union(repeated.select(*[f"_row.{c}" for c in COLUMNS])).union(wordless)
 
 
 def drop_passages(spark, docs, sf_dir):

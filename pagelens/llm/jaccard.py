@@ -17,7 +17,7 @@ blocks, and every pair of its nodes is compared once, in the one cell that has b
 from pyspark.sql import Window, functions as F
 
 from pagelens.llm.components import components
-from pagelens.llm.encoding import documents, text_slices
+from pagelens.llm.encoding import documents, text_slices, with_types
 from pagelens.llm.shingles import shingle_sets
 from pagelens.session import ensure_checkpoint_dir, shared_folder
 
@@ -198,8 +198,9 @@ def grouped(docs, percent, size, id_column, text_column):
 
 def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="text", links=False):
     """One row per document: doc_id, n_shingles, node (digest of its set), component_id (the smallest document id
-    that links reach), copies (documents with the same set); with ``links`` also n_links (other documents that
-    are similar enough, copies among them).
+    that links reach), copies (documents with the same set), first (its id is the component's and its set the
+    one of smallest digest that has this id); with ``links`` also n_links (other documents that are similar
+    enough, copies among them).
 
     Texts without words, empty and NULL texts have no shingles, link with nothing, and are their own
     component. Rows with equal ids keep a row each. A NULL id counts as larger than all others, so it
@@ -207,8 +208,9 @@ def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="te
     gives an empty result. Without ``links`` only the links that connect the groups are looked for.
     """
     texts, members, nodes = grouped(docs, percent, size, id_column, text_column)
-    smallest = nodes.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = nodes.join(smallest, "label").select("node", "copies", "component_id")
+    first = F.min(F.struct(F.col("rep").isNull(), "rep", "node"))["node"]
+    smallest = nodes.groupBy("label").agg(F.min("rep").alias("component_id"), first.alias("_first"))
+    named = nodes.join(smallest, "label").select("node", "copies", "component_id", (F.col("node") == F.col("_first")).alias("_leads"))
     more = []
     if links:
         number = compared(texts, nodes, size, percent, "counts").groupBy("node").agg(F.sum("n_links").alias("_others"))
@@ -216,7 +218,8 @@ def similar_groups(docs, percent=80, size=5, id_column="doc_id", text_column="te
         more = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     return members.join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("copies", F.lit(1)).alias("copies"), *more)
+        F.coalesce("copies", F.lit(1)).alias("copies"),
+        F.coalesce(F.col("_leads") & F.col("doc_id").eqNullSafe(F.col("component_id")), F.lit(True)).alias("first"), *more)
 
 
 def similar_pairs(docs, percent=80, size=5, id_column="doc_id", text_column="text"):
@@ -309,6 +312,22 @@ def compared(texts, nodes, size, percent, result):
     return rows.mapInArrow(run, schema)
 
 
+def with_nodes(docs, columns, size=5, text_column="text"):
+    """The ``columns`` of every row and node, the digest of its set, NULL where the text has no shingles."""
+    rows = docs.select(F.lit(0).cast("long").alias("_key"), docs[text_column].cast("string").alias("_text"), F.struct(*columns).alias("_row"))
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            at = 0
+            for keys, found in text_slices(batch, SLICE):
+                digests = [digest(grams) if len(grams) else None for grams in shingle_sets(found, size)]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, "binary"), batch.column(2).slice(at, len(keys))], ["node", "_row"])
+                at += len(keys)
+
+    return rows.mapInArrow(run, with_types(rows, "node binary", "_row")).select("_row.*", "node")
+
+
 def bit_table(pairs):
     """A bit for the first bits of every node in the pairs: at most 2 ** NEEDED_BITS numbers reach the driver."""
     import numpy as np

@@ -62,3 +62,14 @@ def test_stages_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in pieces if r.start == 0) == ["1", "1", "6", "None"]
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_near_copies_with_equal_ids(spark):
+    """One row of each group stays, also where rows share an id or have none."""
+    words = [f"word{i}" for i in range(60)]
+    a, b, c = (" ".join(f"{p}{w}" for w in words) for p in "abc")
+    rows = [(1, a), (2, b), (2, a + " end"), (None, c), (None, c + " end"), (None, c + " other"), (None, a + " tail"), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.join_near_copies(spark, docs, FOLDER).collect()]
+    assert len(found) == 4 and {(1, a), (2, b), (None, None)} <= set(found)
+    assert [t[:len(c)] for i, t in found if i is None and t] == [c]  # Any one of the three.
