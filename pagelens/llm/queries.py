@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from pagelens.functions import html
-from pagelens.llm import bpe, chat, derivatives, fingerprint, jaccard, language, packing, passages, search, tokens
+from pagelens.llm import bpe, chat, derivatives, fingerprint, jaccard, language, lines, packing, passages, search, tokens
 from pagelens.session import shared_folder
 
 QUERIES, ORACLES = {}, {}
@@ -126,6 +126,13 @@ def op10_passage_dedup(spark, folder):
     return found.select("doc_id", "text", "n_removed", spans("removed"), spans("kept"))
 
 
+@query
+def op11_line_dedup(spark, folder):
+    """Documents without the lines that at least three of them have."""
+    found = lines.drop_common_lines(documents(spark, folder), min_documents=3, min_chars=20)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 # ---------------------------------------------------------------------- oracles
 ORACLES["op2_ngram_jaccard_join"] = r"""
 WITH RECURSIVE w AS MATERIALIZED (
@@ -217,3 +224,15 @@ f AS (SELECT row_id, list(struct_pack(gone := gone, start := start, stop := stop
 SELECT d.doc_id, CASE WHEN f.row_id IS NULL THEN d.text ELSE f.rest END AS text, coalesce(n_removed, 0) AS n_removed,
   coalesce({SPANS.format(gone='true')}, '') AS removed, coalesce({SPANS.format(gone='false')}, '') AS kept
 FROM d LEFT JOIN f ON d.row_id = f.row_id"""
+
+ORACLES["op11_line_dedup"] = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS MATERIALIZED (SELECT row_id, doc_id, i, line, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS words
+  FROM (SELECT row_id, doc_id, unnest(range(len(parts))) AS i, unnest(parts) AS line FROM d)),
+k AS MATERIALIZED (SELECT words, max(doc_id) AS keeper FROM l WHERE length(words) >= 20
+  GROUP BY words HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) >= 3),
+m AS (SELECT l.*, k.words IS NOT NULL AND l.doc_id IS DISTINCT FROM k.keeper AS gone FROM l LEFT JOIN k ON l.words = k.words)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY row_id, doc_id"""
