@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from pagelens.functions import html
-from pagelens.llm import bpe, chat, derivatives, fingerprint, jaccard, language, lines, packing, passages, search, tokens
+from pagelens.llm import bpe, chat, derivatives, fingerprint, jaccard, language, lines, packing, passages, search, tokens, trie, whitening
 from pagelens.session import shared_folder
 
 QUERIES, ORACLES = {}, {}
@@ -133,6 +133,19 @@ def op11_line_dedup(spark, folder):
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op12_prefix_trie(spark, folder):
+    """The trie of the conversations, rebuilt so that those of a hundred share beginnings."""
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    return trie.prefix_trie(trie.with_shared_beginnings(trie.conversations(turns)))
+
+
+@query
+def op13_whitening(spark, folder):
+    """The first 32 whitened components of the embeddings."""
+    return whitening.whiten(table(spark, folder, "embeddings", "vec_id", "embedding"), most=32)
+
+
 # ---------------------------------------------------------------------- oracles
 ORACLES["op2_ngram_jaccard_join"] = r"""
 WITH RECURSIVE w AS MATERIALIZED (
@@ -236,3 +249,34 @@ m AS (SELECT l.*, k.words IS NOT NULL AND l.doc_id IS DISTINCT FROM k.keeper AS
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY row_id, doc_id"""
+
+CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, b))"
+ORACLES["op12_prefix_trie"] = f"""
+WITH k AS MATERIALIZED (SELECT {CRC_TABLE} AS crc),
+t AS MATERIALIZED (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, unhex(md5(step)), length(text)) AS i, md5(step) AS digest, length(text) AS chars FROM (
+    SELECT conv_id, turn, coalesce(text, '') AS text, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS step
+    FROM conversations WHERE conv_id IS NOT NULL)),
+ids AS MATERIALIZED (
+  SELECT c, c - c % 100 AS base, xor(4294967295, list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda s, b: xor(s // 256, k.crc[CAST(xor(s % 256, b) AS INTEGER) + 1]), 4294967295)) % 6 AS h
+  FROM (SELECT DISTINCT c FROM t), k),
+s AS MATERIALIZED (
+  SELECT c, digest, chars, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d FROM (
+    SELECT ids.c, false AS own, t.i, digest, chars FROM ids JOIN t ON t.c = ids.base AND t.i <= ids.h
+    UNION ALL SELECT ids.c, true, t.i, digest, chars FROM ids JOIN t ON t.c = ids.c AND t.i > ids.h)),
+p AS MATERIALIZED (
+  SELECT c, 0 AS d, '' AS node, 0 AS chars FROM ids
+  UNION ALL SELECT c, d, string_agg(digest, '') OVER (PARTITION BY c ORDER BY d), chars FROM s),
+z AS (SELECT c, max(d) AS len FROM p GROUP BY c),
+n AS MATERIALIZED (
+  SELECT node, d, min(p.c) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) FILTER (z.len = d), '')) AS ends
+  FROM p JOIN z ON p.c = z.c GROUP BY node, d),
+e AS MATERIALIZED (SELECT n.*, u.node AS parent FROM n LEFT JOIN p u ON u.c = n.conv_id AND u.d = n.d - 1),
+kids AS (SELECT parent, count(*) AS kids FROM e WHERE parent IS NOT NULL GROUP BY parent),
+f AS MATERIALIZED (SELECT e.*, coalesce(kids, 0) AS kids FROM e LEFT JOIN kids ON kids.parent = e.node),
+a AS (SELECT u.node, count(*) FILTER (f.kids = 0) AS leaves, sum((f.n - 1) * f.chars) AS saved FROM f JOIN p u ON u.c = f.conv_id AND u.d <= f.d GROUP BY u.node)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, g.conv_id AS parent_conv_id, f.n AS n_convs, CAST(f.kids AS BIGINT) AS n_children,
+  a.leaves AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+FROM f JOIN a ON a.node = f.node LEFT JOIN f g ON g.node = f.parent"""
