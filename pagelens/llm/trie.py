@@ -116,9 +116,9 @@ def levels(conv, lengths, numbers, chars, before, after, width=WIDTH):
         base += columns
         last = found[-1]
         shared = last["n"] > 1
-        if base < before:
+        if base <= before:
             shared[0] = True
-        if base < after:
+        if base <= after:
             shared[-1] = True
         going = np.flatnonzero(lengths[rows] > base)
         alone = going[~shared[above[going]]]
