@@ -212,14 +212,12 @@ def largest_roots(polynomial, most):
     result, left = [], most
     for low, high, times in found:
         if times == 1:
-            sign = value_at(fine, high) >= 0
-            while high - low > 1:
+            end = value_at(fine, high)
+            while end and high - low > 1:
                 middle = (low + high) // 2
                 value = value_at(fine, middle)
-                if value == 0:
-                    low = high = middle
-                elif (value > 0) == sign:
-                    high = middle
+                if value == 0 or (value > 0) == (end > 0):
+                    high, end = middle, value
                 else:
                     low = middle
         result.append((high, min(times, left)))
