@@ -2,7 +2,7 @@
 
 import struct
 
-from pagelens.llm.encoding import Memo, byte_characters, documents, gather, parts_of, sums, text_slices
+from pagelens.llm.encoding import Memo, byte_characters, documents, gather, kept_in_worker, parts_of, sums, text_slices
 
 # Fixed values of the byte-level pre-tokenizer: how a text is cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -13,6 +13,7 @@ class Merges:
 
     def __init__(self, path):
         import json
+        import ahocorasick
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         byte_of = {c: b for b, c in byte_characters().items()}
@@ -30,15 +31,12 @@ class Merges:
             self.merged[ids[left], ids[right]] = token
             self.rank[token] = rank
         self.pairs, self.whole = {}, {}
-        # Lengths of the tokens that end with the same bytes, longest first, so that few ends are looked up.
-        lengths = {}
-        for token in self.vocabulary:
-            for n in range(1, min(3, len(token)) + 1):
-                lengths.setdefault(token[-n:], set()).add(len(token))
-        self.lengths = {}
-        for end, found in lengths.items():
-            shorter = [len(end[i:]) for i in range(1, len(end)) if end[i:] in self.vocabulary]
-            self.lengths[end] = tuple(sorted(found.union(shorter), reverse=True))
+        # All tokens that end at each place of a word are found at once; bytes are the characters of the same number.
+        self.size = {token: len(text) for token, text in self.text.items()}
+        self.ends = ahocorasick.Automaton()
+        for text, token in self.vocabulary.items():
+            self.ends.add_word(text.decode("latin-1"), (token, len(text)))
+        self.ends.make_automaton()
 
     def apart(self, left, right, limit=float("inf"), own=None):
         """Whether no merge crosses the border, undoing the merges next to it from the last to the first."""
@@ -76,37 +74,34 @@ class Merges:
         here and may follow the state of the node where it begins. Words with a common prefix share the
         states of that prefix.
         """
-        found, last, path = {}, [-1], b""
-        vocabulary, pairs, lengths, text = self.vocabulary.get, self.pairs, self.lengths, self.text
-        for word, raw in sorted((w.encode(), w) for w in words):
-            same, most = 0, min(len(word), len(path))
-            if word[:most] == path[:most]:
-                same = most
+        found, last, path = {}, [-1], ""
+        pairs, size, ends = self.pairs, self.size, self.ends.iter
+        for word, raw in sorted((w if w.isascii() else w.encode().decode("latin-1"), w) for w in words):
+            if word.startswith(path):
+                known = len(path)
             else:
-                while word[same] == path[same]:
-                    same += 1
-            del last[same + 1:]
-            for end in range(same + 1, len(word) + 1):
-                for length in (lengths.get(word[max(0, end - 3):end]) or lengths.get(word[max(0, end - 2):end])
-                               or lengths[word[end - 1:end]]):
-                    if length > end:
-                        continue
-                    token = vocabulary(word[end - length:end])
-                    if token is None:
-                        continue
-                    before = last[end - length]
-                    key = before << 20 | token
-                    fits = pairs.get(key)
-                    if fits is None:
-                        fits = pairs[key] = self.reached(token) and (before < 0 or self.apart(before, token))
-                    if fits:
-                        last.append(token)
-                        break
+                known, most = 0, min(len(word), len(path))
+                while known < most and word[known] == path[known]:
+                    known += 1
+                del last[known + 1:]
+            for end, (token, length) in ends(word):
+                if end < known:
+                    continue
+                before = last[end + 1 - length]
+                key = before << 20 | token
+                fits = pairs.get(key)
+                if fits is None:
+                    fits = pairs[key] = self.reached(token) and (before < 0 or self.apart(before, token))
+                if fits:
+                    last.append(token)
+                    known = end + 1
             path, ids, at = word, [], len(word)
             while at:
-                ids.append(last[at])
-                at -= len(text[last[at]])
-            found[raw] = ids[::-1]
+                token = last[at]
+                ids.append(token)
+                at -= size[token]
+            ids.reverse()
+            found[raw] = ids
         return found
 
 
@@ -195,7 +190,7 @@ def encode(docs, tokenizer, id_column="doc_id", text_column="text", slice_bytes=
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        encoder = TrieEncoder(tokenizer)
+        encoder = kept_in_worker(TrieEncoder, tokenizer)
         for batch in batches:
             for keys, texts in text_slices(batch, slice_bytes):
                 ids, n = encoder.encode(texts)
@@ -209,7 +204,7 @@ def decode(encoded, tokenizer):
     """Texts of ids: doc_id, text. A NULL list gives NULL."""
     def run(batches):
         import pyarrow as pa
-        encoder = TrieEncoder(tokenizer)
+        encoder = kept_in_worker(TrieEncoder, tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
@@ -226,7 +221,7 @@ def round_trip(docs, tokenizer, id_column="doc_id", text_column="text", slice_by
         import hashlib
         import numpy as np
         import pyarrow as pa
-        encoder = TrieEncoder(tokenizer)
+        encoder = kept_in_worker(TrieEncoder, tokenizer)
         for batch in batches:
             for keys, texts in text_slices(batch, slice_bytes):
                 ids, n = encoder.encode(texts)

@@ -15,6 +15,20 @@ def byte_characters():
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
 
+def kept_in_worker(make, *arguments):
+    """What ``make`` gives for these arguments, made once in a worker process: later tasks there use it again.
+
+    Functions travel with their code, so each task has globals of its own; the store is a module of its own.
+    """
+    import sys
+    import types
+    store = vars(sys.modules.setdefault("pagelens_worker_store", types.ModuleType("pagelens_worker_store")))
+    key = repr((make.__name__, arguments))
+    if key not in store:
+        store[key] = make(*arguments)
+    return store[key]
+
+
 class Memo(dict):
     """A dictionary that computes missing values."""
 
@@ -75,10 +89,11 @@ class WordEncoder:
     Words never reach over a blank, so a text's ids are those of its parts between blanks, one after
     the other. A part of plain characters is cut into words here and each distinct word goes through
     the library's merges once; any other part goes through the whole library. ``entries`` bounds the
-    memory of known parts, not the result.
+    memory of known parts, not the result, and ``LONG`` the parts that are remembered at all.
     """
+    LONG = 1 << 10
 
-    def __init__(self, path, entries=300_000):
+    def __init__(self, path, entries=150_000):
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
@@ -108,6 +123,9 @@ class WordEncoder:
                 known.clear()
         self.parts[""] = b""
         ids, n = gather(list(map(self.parts.__getitem__, distinct)), index)
+        for part in distinct:
+            if len(part) > self.LONG:
+                self.parts.pop(part, None)
         return ids, sums(n, offsets)
 
 
