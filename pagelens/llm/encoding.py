@@ -4,8 +4,8 @@ import re
 import struct
 
 # Text made of these characters is in composed form, and its lower case depends on no neighbour.
-PLAIN = re.compile("[!-~À-ɏ]+").fullmatch
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:(?![^\W\d_])[^\s0-9])+").findall
+PLAIN = "^[!-~À-ɏ]*$"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:(?![^\W\d_])[^\s0-9])+|\n").findall
 
 
 def byte_characters():
@@ -29,6 +29,13 @@ def kept_in_worker(make, *arguments):
     return store[key]
 
 
+def small_batches(spark, rows=2000):
+    """At most so many rows in an Arrow batch of this session from now on, as each holds a whole text or its ids."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 class Memo(dict):
     """A dictionary that computes missing values."""
 
@@ -60,8 +67,12 @@ def gather(lists, index):
     """The rows ``index`` of a list of byte strings of 32-bit ids: all ids, and how many each row has."""
     import numpy as np
     sizes = np.array([len(x) // 4 for x in lists], "int64")
-    flat = np.frombuffer(b"".join(lists), "<i4")
-    firsts = np.cumsum(sizes) - sizes
+    return ragged(np.frombuffer(b"".join(lists), "<i4"), np.cumsum(sizes) - sizes, sizes, index)
+
+
+def ragged(flat, firsts, sizes, index):
+    """The rows ``index`` of lists that lie in ``flat``: all values, and how many each row has."""
+    import numpy as np
     n = sizes[index]
     shift = firsts[index] - (np.cumsum(n) - n)
     return flat[np.repeat(shift, n) + np.arange(int(n.sum()))], n
@@ -87,20 +98,18 @@ class WordEncoder:
     """Ids of texts under the word vocabulary in ``path``.
 
     Words never reach over a blank, so a text's ids are those of its parts between blanks, one after
-    the other. A part of plain characters is cut into words here and each distinct word goes through
-    the library's merges once; any other part goes through the whole library. ``entries`` bounds the
-    memory of known parts, not the result, and ``LONG`` the parts that are remembered at all.
+    the other. Parts of plain characters are cut into words here, all distinct ones at once, and each distinct word
+    goes through the library's merges; any other part goes through the whole library. ``entries`` bounds the
+    memory of known words, not the result.
     """
-    LONG = 1 << 10
 
-    def __init__(self, path, entries=150_000):
+    def __init__(self, path, entries=300_000):
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
         self.characters = byte_characters()
         self.entries = entries
         self.words = Memo(self.encode_word)
-        self.parts = Memo(self.encode_part)
 
     def encode_word(self, word):
         if not word.isascii():
@@ -108,25 +117,40 @@ class WordEncoder:
         ids = [token.id for token in self.model.tokenize(word)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode_part(self, part):
-        if PLAIN(part) and "<|" not in part:
-            return b"".join(map(self.words.__getitem__, PIECE(part.lower())))
+    def encode_whole(self, part):
         ids = self.full.encode(part, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def encode_parts(self, parts):
+        """Ids of an Arrow array of texts without blanks: all ids in one array, and each part's first place and number."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        plain = pc.and_not(pc.match_substring_regex(parts, PLAIN), pc.match_substring(parts, "<|")).to_numpy(zero_copy_only=False)
+        cut = pa.array(PIECES("\n".join(parts.filter(pa.array(plain)).to_pylist()).lower()), pa.string()).dictionary_encode()
+        words, codes = cut.dictionary.to_pylist(), cut.indices.to_numpy()
+        ids, n = gather([b"" if w == "\n" else self.words[w] for w in words], codes)
+        ends = np.cumsum(n)
+        borders = np.flatnonzero(codes == words.index("\n")) if "\n" in words else np.zeros(0, "int64")
+        bounds = np.concatenate([[0], ends[borders], [len(ids)]]).astype("int64")
+        others = [self.encode_whole(part) for part in parts.filter(pa.array(~plain)).to_pylist()]
+        firsts, sizes = np.zeros(len(parts), "int64"), np.zeros(len(parts), "int64")
+        if plain.any():
+            firsts[plain], sizes[plain] = bounds[:-1], np.diff(bounds)
+        sizes[~plain] = [len(x) // 4 for x in others]
+        firsts[~plain] = len(ids) + np.cumsum(sizes[~plain]) - sizes[~plain]
+        if len(self.words) > self.entries:
+            self.words.clear()
+        return np.concatenate([ids, np.frombuffer(b"".join(others), "<i4")]), firsts, sizes
+
     def encode(self, texts):
         """Ids of an Arrow array of texts without NULLs: all ids in one array, and each text's number of ids."""
         import pyarrow.compute as pc
-        distinct, index, offsets = parts_of(pc.replace_substring(texts, "\n", " "), " ")
-        for known in (self.parts, self.words):
-            if len(known) > self.entries:
-                known.clear()
-        self.parts[""] = b""
-        ids, n = gather(list(map(self.parts.__getitem__, distinct)), index)
-        for part in distinct:
-            if len(part) > self.LONG:
-                self.parts.pop(part, None)
-        return ids, sums(n, offsets)
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        ids, n = ragged(*self.encode_parts(coded.dictionary), coded.indices.to_numpy())
+        offsets = split.offsets.to_numpy()
+        return ids, sums(n, offsets - offsets[0])
 
 
 def with_end(ids, n, end_id):

@@ -1,6 +1,6 @@
 """Packing documents into training windows of several lengths."""
 
-from pagelens.llm.encoding import WordEncoder, documents, text_slices, with_end
+from pagelens.llm.encoding import WordEncoder, documents, kept_in_worker, text_slices, with_end
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "tier int, step_id long")
@@ -127,7 +127,7 @@ def pack(docs, tokenizer, end_id=1, tiers=(256, 512, 1024, 2048), step_tokens=16
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
-        encoder = WordEncoder(tokenizer)
+        encoder = kept_in_worker(WordEncoder, tokenizer)
         base = TaskContext.get().partitionId() << 32
         packer = Packer(tuple(tiers), step_tokens, ahead, base, base)
 
