@@ -1,6 +1,6 @@
 """From WARC records to extracted pages."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagelens.functions import html, text as tx, url as u
 from pagelens.functions.stages import computed
@@ -47,12 +47,16 @@ def usable(pages: DataFrame) -> DataFrame:
         (F.col("url") != "") & (F.col("title") != "") & (F.char_length("snippet") > MIN_SNIPPET))
 
 
+def rejection_reason() -> Column:
+    """Why ``usable`` drops a page; NULL for pages it keeps."""
+    return (F.when(F.coalesce(F.col("url"), F.lit("")) == "", "no url")
+            .when(F.coalesce(F.col("title"), F.lit("")) == "", "no title")
+            .when(F.coalesce(F.char_length("snippet"), F.lit(0)) <= MIN_SNIPPET, "short snippet"))
+
+
 def rejected_count(pages: DataFrame) -> DataFrame:
     """How many pages ``usable`` drops, by reason."""
-    reason = (F.when(F.coalesce(F.col("url"), F.lit("")) == "", "no url")
-              .when(F.coalesce(F.col("title"), F.lit("")) == "", "no title")
-              .when(F.coalesce(F.char_length("snippet"), F.lit(0)) <= MIN_SNIPPET, "short snippet"))
-    return (pages.select(reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return (pages.select(rejection_reason().alias("reason")).filter(F.col("reason").isNotNull())
             .groupBy("reason").agg(F.count("*").alias("n")))
 
 

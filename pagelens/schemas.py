@@ -16,6 +16,9 @@ WARC_RECORD = T.StructType([
     T.StructField("payload", T.BinaryType()),
 ])
 
+# Records and damaged places of an archive.
+WARC_STATUS = T.StructType(WARC_RECORD.fields + [T.StructField("status", T.StringType()), T.StructField("offset", T.LongType())])
+
 EXTRACTED = _strings(
     "url", "title", "snippet", "language", "warc_id",
     "content_type", "server", "warc_date", "meta_description",
