@@ -1,67 +1,261 @@
-"""Training and batch scoring of the multi-label classifier with Spark ML."""
+"""Training, keeping and batch scoring of the multi-label classifier.
 
-from concurrent.futures import ThreadPoolExecutor
+One logistic regression per label on hashed tokens weighted by their rarity. All labels are trained together: an
+epoch is a step along the gradient of all of them, which the tasks sum over their rows and which is added up as a tree
+of blocks. What reaches the driver and the executors is bounded by the number of features and labels.
+"""
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F, types as T
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pagelens.functions import text as tx
 from pagelens.labels import LABELS
 from pagelens.operators import scoring
 
-# Longest input in tokens and number of passes.
-MAX_TOKENS, EPOCHS = 512, 3
+# Fixed value: longest input in tokens.
+MAX_TOKENS = 512
+BLOCK = 4096  # Features of a block of the gradient.
+SLICE = 1 << 16  # Tokens that are multiplied at a time.
+
+
+def token_indexes(text: Column, n_features: int) -> Column:
+    """The feature of each token of a text."""
+    return F.transform(tx.tokens(text, MAX_TOKENS), lambda token: F.pmod(F.hash(token), F.lit(n_features)).cast("int"))
+
+
+def _slices(lists):
+    """Cut an Arrow array of lists so that a slice has about SLICE values: first row, sizes, values."""
+    import numpy as np
+    offsets = lists.offsets.to_numpy()
+    values = lists.values.to_numpy(zero_copy_only=False)
+    row = 0
+    while row < len(lists):
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE, "right")) - 1)
+        yield row, np.diff(offsets[row:stop + 1]), values[offsets[row]:offsets[stop]]
+        row = stop
+
+
+def _logits(sizes, indexes, weights, bias):
+    """Sums of the weights of each row's tokens, plus the bias."""
+    import numpy as np
+    logits = np.tile(bias, (len(sizes), 1))
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        logits[filled] += np.add.reduceat(weights[indexes], (np.cumsum(sizes) - sizes)[filled], axis=0)
+    return logits
 
 
 class MultiLabelModel:
-    """Features shared by all labels and one binary model per label."""
+    """Weights (features x labels) with the features' rarity in them, one bias per label, and the epochs of the training.
+
+    A label that never, or always, occurs in training has no weights and a bias of minus, or plus, infinity.
+    """
 
-    def __init__(self, features: PipelineModel, models: list, labels):
-        self.features, self.models, self.labels = features, models, labels
+    def __init__(self, weights, bias, labels, history=()):
+        self.weights, self.bias, self.labels, self.history = weights, bias, list(labels), list(history)
 
     def transform(self, pages: DataFrame, text: str = "text") -> DataFrame:
-        """Add the arrays ``logit``, ``prob`` and ``pred``; a narrow step for every page."""
-        df = self.features.transform(pages.withColumn("_tokens", tx.tokens(F.col(text), MAX_TOKENS)))
-        for i, model in enumerate(self.models):
-            if model is not None:
-                df = model.setRawPredictionCol(f"_raw{i}").setProbabilityCol(f"_prob{i}") \
-                          .setPredictionCol(f"_pred{i}").transform(df)
-        logits = F.array(*[
-            vector_to_array(f"_raw{i}")[1] if m is not None else F.lit(float("-inf")) for i, m in enumerate(self.models)])
-        df = df.select(*pages.columns, logits.alias("logit"))
-        df = df.withColumn("prob", scoring.probabilities(F.col("logit")))
+        """Add the arrays ``logit``, ``prob`` and ``pred``; a narrow step. A worker gets the weights once."""
+        shared = pages.sparkSession.sparkContext.broadcast((self.weights, self.bias))
+        schema = T.StructType(pages.schema.fields + [T.StructField("logit", T.ArrayType(T.DoubleType()))])
+
+        def run(batches):
+            import numpy as np
+            import pyarrow as pa
+            weights, bias = shared.value
+            for batch in batches:
+                lists = batch.column(batch.num_columns - 1)
+                parts = [_logits(sizes, indexes, weights, bias) for _, sizes, indexes in _slices(lists)]
+                logits = np.concatenate(parts) if parts else np.zeros((0, len(bias)))
+                ends = pa.array(np.arange(0, logits.size + 1, len(bias), dtype="int32"))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(logits.ravel()))],
+                                                 names=[*batch.schema.names[:-1], "logit"])
+
+        indexed = pages.withColumn("_indexes", F.coalesce(token_indexes(F.col(text), len(self.weights)), F.array().cast("array<int>")))
+        df = indexed.mapInArrow(run, schema).withColumn("prob", scoring.probabilities(F.col("logit")))
         return df.withColumn("pred", scoring.predictions(F.col("prob")))
 
+    def epochs(self, spark: SparkSession) -> DataFrame:
+        """epoch, loss, f1_macro (on the rows held out; NULL without any) and whether it is the one kept."""
+        return spark.createDataFrame(self.history, "epoch int, loss double, f1_macro double, kept boolean")
+
+    def save(self, spark: SparkSession, folder: str, version: str) -> None:
+        """Write the model as one version of the model store in ``folder``; a version is never overwritten."""
+        rows = [(i, w) for i, w in enumerate([self.bias.tolist(), *self.weights.tolist()])]
+        spark.createDataFrame(rows, "row int, weights array<double>").write.parquet(f"{folder}/version={version}/weights")
+        labels = spark.createDataFrame(list(enumerate(self.labels)), "label_idx int, label string")
+        labels.write.parquet(f"{folder}/version={version}/labels")
+        self.epochs(spark).write.parquet(f"{folder}/version={version}/epochs")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str, version: str) -> "MultiLabelModel":
+        import numpy as np
+
+        def rows(name, order):
+            return spark.read.parquet(f"{folder}/version={version}/{name}").orderBy(order).collect()
+
+        values = np.array([r.weights for r in rows("weights", "row")], "float64")
+        return cls(values[1:], values[0], [r.label for r in rows("labels", "label_idx")], [tuple(r) for r in rows("epochs", "epoch")])
+
+
+def _added_up(parts: DataFrame, levels) -> dict:
+    """Sum byte strings of doubles by block, first within each of ``levels`` columns, so that no task adds more than
+    their groups."""
+    schema = "block int, part int, data binary"
+
+    def add(table):
+        import numpy as np
+        import pyarrow as pa
+        total = None
+        for data in table.column("data"):
+            values = np.frombuffer(data.as_buffer(), "float64")
+            total = values.copy() if total is None else np.add(total, values, out=total)
+        return pa.table({"block": table.column("block").slice(0, 1), "part": table.column("part").slice(0, 1), "data": pa.array([total.tobytes()], pa.binary())})
+
+    for keys in levels:
+        parts = parts.groupBy(*keys).applyInArrow(add, schema)
+    return {r.block: r.data for r in parts.collect()}
+
+
+class _Objective:
+    """Mean loss over the training rows, its gradient, and the counts of the held-out rows, in one pass."""
+
+    def __init__(self, prepared: DataFrame, rarity, n_labels: int, tasks: int, regularisation: float):
+        self.prepared, self.rarity, self.n_labels, self.regularisation = prepared, rarity, n_labels, regularisation
+        self.buckets = max(1, math.isqrt(tasks))
+
+    def __call__(self, theta):
+        """``theta`` has the weights in its first rows and the bias in the last one."""
+        import numpy as np
+        n_features, n_labels, buckets = len(self.rarity), self.n_labels, self.buckets
+        shared = self.prepared.sparkSession.sparkContext.broadcast((theta, self.rarity))
+
+        def run(batches):
+            import pyarrow as pa
+            from pyspark import TaskContext
+            theta, rarity = shared.value
+            weights, bias = theta[:-1] * rarity[:, None], theta[-1]
+            gradient = np.zeros((n_features, n_labels))
+            sums = np.zeros((6, n_labels))  # loss, rows, gradient of the bias, and of held-out rows tp, fp, fn
+            for batch in batches:
+                truth = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_labels)
+                held = batch.column(2).to_numpy(zero_copy_only=False)
+                for row, sizes, indexes in _slices(batch.column(0)):
+                    z, y, out = _logits(sizes, indexes, weights, bias), truth[row:row + len(sizes)], held[row:row + len(sizes)]
+                    error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) * ~out[:, None]
+                    sums[0] += ((np.logaddexp(0, z) - y * z) * ~out[:, None]).sum(axis=0)
+                    sums[1] += (~out).sum()
+                    sums[2] += error.sum(axis=0)
+                    for i, (a, b) in enumerate(((z >= 0, y == 1), (z >= 0, y == 0), (z < 0, y == 1))):
+                        sums[3 + i] += (a & b & out[:, None]).sum(axis=0)
+                    for label in range(n_labels):
+                        gradient[:, label] += np.bincount(indexes, np.repeat(error[:, label], sizes), n_features)
+            gradient *= rarity[:, None]
+            blocks = [sums, *np.split(gradient, range(BLOCK, n_features, BLOCK))]
+            part = TaskContext.get().partitionId() % buckets
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()),
+                                              pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "part", "data"])
+
+        parts = self.prepared.mapInArrow(run, "block int, part int, data binary")
+        blocks = _added_up(parts, [("block", "part"), ("block",)])
+        shared.destroy()
+        sums = np.frombuffer(blocks.pop(0), "float64").reshape(6, n_labels)
+        n = max(sums[1, 0], 1)
+        gradient = np.concatenate([np.frombuffer(blocks[i], "float64") for i in sorted(blocks)] + [sums[2]]).reshape(-1, n_labels) / n
+        gradient[:-1] += self.regularisation * theta[:-1]
+        loss = sums[0].sum() / n + self.regularisation / 2 * float((theta[:-1] ** 2).sum())
+        tp, fp, fn = sums[3:]
+        f1 = float(np.mean(2 * tp / np.maximum(2 * tp + fp + fn, 1))) if (tp + fp + fn).any() else None
+        return float(loss), gradient, f1
+
+
+def _minimised(objective, theta, epochs: int, tolerance: float, memory: int = 10):
+    """Steps of limited-memory BFGS, halved until the loss falls enough: (epoch, loss, f1, theta) from the start on. Ends
+    after ``epochs`` steps, or when a step gains less than ``tolerance`` of the loss."""
+    import numpy as np
+    loss, gradient, f1 = objective(theta)
+    yield 0, loss, f1, theta
+    pairs = []
+    for epoch in range(1, epochs + 1):
+        direction, factors = -gradient, []
+        for s, y, rho in reversed(pairs):
+            factors.append(rho * float((s * direction).sum()))
+            direction = direction - factors[-1] * y
+        if pairs:
+            s, y, rho = pairs[-1]
+            direction = direction / (rho * float((y * y).sum()))
+        for (s, y, rho), factor in zip(pairs, reversed(factors)):
+            direction = direction + s * (factor - rho * float((y * direction).sum()))
+        slope = float((gradient * direction).sum())
+        if slope >= 0:
+            return
+        step = 1.0 if pairs else 1.0 / max(float(np.sqrt((gradient ** 2).sum())), 1e-12)
+        while True:
+            moved = theta + step * direction
+            new_loss, new_gradient, f1 = objective(moved)
+            if new_loss <= loss + 1e-4 * step * slope:
+                break
+            step /= 2
+            if step < 1e-10:
+                return
+        s, y = moved - theta, new_gradient - gradient
+        if float((s * y).sum()) > 1e-12:
+            pairs = (pairs + [(s, y, 1 / float((s * y).sum()))])[-memory:]
+        gained, theta, loss, gradient = loss - new_loss, moved, new_loss, new_gradient
+        yield epoch, loss, f1, theta
+        if gained <= tolerance * max(abs(loss), 1e-12):
+            return
+
 
 def train(examples: DataFrame, text: str = "text", y: str = "label_vector", labels=LABELS, n_features: int = 1 << 16,
-          epochs: int = EPOCHS, regularisation: float = 1e-4, parallelism: int = 8) -> MultiLabelModel:
-    """Fit one logistic regression per label on hashed token weights.
+          epochs: int = 100, regularisation: float = 1e-4, tolerance: float = 1e-4, held_out: Column | None = None,
+          tasks: int | None = None, checkpoint: str | None = None, start: MultiLabelModel | None = None) -> MultiLabelModel:
+    """Fit one logistic regression per label, and keep the best epoch.
 
-    Features are computed once and kept while the independent label models are fitted side by side.
-    A label that is always or never present gets no model.
+    ``epochs`` bounds the steps; training ends earlier when a step gains less than ``tolerance`` of the loss. Rows for which
+    ``held_out`` holds are not trained on: the epoch with the highest macro F1 on them is kept, the earliest of equal ones;
+    without such rows the last one, whose loss is lowest. Examples with a NULL or wrongly sized vector are left out.
+    They are dealt into ``tasks`` parts, and their features kept, as every epoch reads them again.
+
+    With ``checkpoint``, a folder, each epoch is saved there as a version ``epoch-1``, ``epoch-2`` and so on; ``start`` goes on
+    from a model, such as the last one saved by a training that was broken off.
     """
-    tokens = examples.select(tx.tokens(F.col(text), MAX_TOKENS).alias("_tokens"), F.col(y).alias("_y"))
-    features = Pipeline(stages=[HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features),
-                                IDF(inputCol="_tf", outputCol="_features")]).fit(tokens)
-    prepared = features.transform(tokens).select(
-        "_features", *[F.col("_y")[i].alias(f"_y{i}") for i in range(len(labels))]).persist()
+    import numpy as np
+    spark, labels = examples.sparkSession, list(labels)
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
+    indexes = F.coalesce(token_indexes(F.col(text), n_features), F.array().cast("array<int>"))
+    prepared = examples.filter(F.size(y) == len(labels)).select(indexes.alias("indexes"), F.col(y).cast("array<double>").alias("y"), held.alias("held"))
+    prepared = prepared.filter(~F.exists("y", lambda v: v.isNull())).repartition(tasks).persist()
     try:
-        shares = prepared.agg(*[F.avg(f"_y{i}").alias(f"_y{i}") for i in range(len(labels))]).first()
-
-        def fit(i):
-            if not 0 < shares[i] < 1:
-                return None
-            return LogisticRegression(featuresCol="_features", labelCol=f"_y{i}", maxIter=epochs,
-                                      regParam=regularisation).fit(prepared)
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = list(pool.map(fit, range(len(labels))))
+        trained = prepared.filter("NOT held")
+        counts = trained.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(F.col("y")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(len(labels))]).first()
+        used = trained.select(F.explode(F.array_distinct("indexes")).alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()
+        rarity = np.zeros(n_features)
+        rarity[[r.feature for r in used]] = [math.log((counts.n + 1) / (r.n + 1)) for r in used]
+        objective = _Objective(prepared, rarity, len(labels), tasks, regularisation)
+        first = np.zeros((n_features + 1, len(labels)))
+        if start is not None:
+            first[:-1] = np.divide(start.weights, rarity[:, None], out=first[:-1], where=rarity[:, None] > 0)
+            first[-1] = np.where(np.isfinite(start.bias), start.bias, 0)
+        best, history = None, []
+        for epoch, loss, f1, theta in _minimised(objective, first, epochs, tolerance):
+            history.append((epoch, loss, f1))
+            if checkpoint and epoch:
+                MultiLabelModel(theta[:-1] * rarity[:, None], theta[-1], labels, [(*h, h[0] == epoch) for h in history]).save(
+                    spark, checkpoint, f"epoch-{epoch}")
+            if epoch and (best is None or f1 is None or f1 > history[best[0]][2]):
+                best = epoch, theta
     finally:
         prepared.unpersist()
-    return MultiLabelModel(features, models, labels)
+    theta = best[1] if best else np.zeros((n_features + 1, len(labels)))
+    weights, bias = theta[:-1] * rarity[:, None], theta[-1].copy()
+    for i, total in enumerate(counts[1:]):
+        if total in (0, counts.n):
+            weights[:, i], bias[i] = 0, math.inf if total and counts.n else -math.inf
+    kept = best[0] if best else 0
+    return MultiLabelModel(weights, bias, labels, [(e, loss, f1, e == kept) for e, loss, f1 in history])
 
 
 def score_with(pages: DataFrame, open_scorer, text: str = "text", parallelism: int | None = None) -> DataFrame:

@@ -169,3 +169,77 @@ def test_rows_of_several_files_are_all_labelled(spark, tmp_path):
     for target in (4, 100, None):
         crawl.label_pending(pages, out, lambda frame: ["News"] * len(frame), target=target)
     assert sorted(r.url for r in spark.read.parquet(out).collect()) == sorted(r.url for r in pages.collect())
+
+
+def _examples(spark, n=400):
+    import random
+    r = random.Random(3)
+    words = {"News": "report today", "Shop": "buy cart price", "Travel": "hotel flight"}
+    data = []
+    for i in range(n):
+        present = [name for name in words if r.random() < 0.4]
+        noise = " ".join(f"w{r.randint(0, 60)}" for _ in range(r.randint(0, 5)))
+        data.append((i, " ".join(words[name] for name in present) + " " + noise, [float(name in present) for name in LABELS], r.random() < 0.2))
+    return spark.createDataFrame(data, "id int, text string, label_vector array<double>, held boolean")
+
+
+def test_objective_is_loss_and_gradient(spark):
+    """The sums of one pass against plain numpy, and the gradient against differences of the loss."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    rows = [(rng.integers(0, 30, rng.integers(0, 8)).tolist(), rng.integers(0, 2, 3).astype(float).tolist(), bool(rng.random() < 0.3)) for _ in range(50)]
+    prepared = spark.createDataFrame(rows, "indexes array<int>, y array<double>, held boolean").repartition(5)
+    rarity = rng.random(30) + 0.5
+    objective = model._Objective(prepared, rarity, 3, 9, 0.01)
+    theta = rng.normal(size=(31, 3))
+    loss, gradient, f1 = objective(theta)
+
+    def plain(theta):
+        x = np.array([np.bincount(np.array(i, int), minlength=30) for i, _, held in rows if not held]) * rarity
+        y = np.array([y for _, y, held in rows if not held])
+        z = x @ theta[:-1] + theta[-1]
+        return (np.logaddexp(0, z) - y * z).sum() / len(y) + 0.005 * (theta[:-1] ** 2).sum()
+
+    assert abs(loss - plain(theta)) < 1e-9
+    for i, j in [(0, 0), (7, 2), (29, 1), (30, 0), (30, 2)]:
+        step = np.zeros_like(theta)
+        step[i, j] = 1e-5
+        assert abs((plain(theta + step) - plain(theta - step)) / 2e-5 - gradient[i, j]) < 1e-7
+    x = np.array([np.bincount(np.array(i, int), minlength=30) for i, _, held in rows if held]) * rarity
+    y, pred = np.array([y for _, y, held in rows if held]), x @ theta[:-1] + theta[-1] >= 0
+    tp, fp, fn = ((pred & (y == 1)).sum(0), (pred & (y == 0)).sum(0), (~pred & (y == 1)).sum(0))
+    assert abs(f1 - np.mean(2 * tp / np.maximum(2 * tp + fp + fn, 1))) < 1e-12
+
+
+def test_training_keeps_the_best_epoch_and_can_go_on(spark, tmp_path):
+    df = _examples(spark)
+    trained = model.train(df, n_features=1 << 12, held_out=F.col("held"), tolerance=1e-3, checkpoint=str(tmp_path / "steps"))
+    losses, kept = [h[1] for h in trained.history], [h for h in trained.history if h[3]]
+    assert all(b < a for a, b in zip(losses, losses[1:])) and len(kept) == 1 and len(losses) < 100
+    assert kept[0][2] == max(h[2] for h in trained.history[1:]) > trained.history[0][2]
+    first = model.MultiLabelModel.load(spark, str(tmp_path / "steps"), "epoch-1")
+    again = model.train(df, n_features=1 << 12, held_out=F.col("held"), tolerance=1e-3, start=first)
+    assert abs(again.history[0][1] - losses[1]) < 1e-9 and again.history[-1][1] < losses[1]
+    assert trained.epochs(spark).filter("kept").count() == 1
+
+
+def test_model_store(spark, tmp_path):
+    df = _examples(spark, 120)
+    trained = model.train(df, n_features=1 << 11, epochs=5)
+    trained.save(spark, str(tmp_path), "a")
+    loaded = model.MultiLabelModel.load(spark, str(tmp_path), "a")
+    assert loaded.labels == trained.labels and loaded.history == trained.history
+    assert loaded.transform(df).collect() == trained.transform(df).collect()
+    with pytest.raises(Exception):
+        trained.save(spark, str(tmp_path), "a")
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "buy " * 2000), (4, "unseen")], "id int, text string")
+    found = {r.id: r.prob for r in loaded.transform(odd).collect()}
+    assert len(found) == 4 and found[1] == found[2] and found[3][2] > 0.9
+
+
+def test_training_on_odd_examples(spark):
+    schema = "text string, label_vector array<double>"
+    some = [("a", [0.0] * 11), (None, [1.0] + [0.0] * 10), ("b", None), ("c", [1.0]), ("d", [None] * 11), ("", [0.0] * 10 + [1.0])]
+    model.train(spark.createDataFrame(some, schema), n_features=64, epochs=3)
+    nothing = model.train(spark.createDataFrame([], schema), n_features=64, epochs=3)
+    assert nothing.transform(spark.createDataFrame([("x",)], "text string")).first().prob == [0.0] * 11
