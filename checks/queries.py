@@ -39,8 +39,11 @@ def _text(df, *names):
 
 
 # ------------------------------------------------------------------ sources
-def _warc_folder(s, d):
-    """The pages as gzip WARC files, written by the tasks."""
+DAMAGED_EVERY, DAMAGED_AT = 50, 11  # Pages whose member of the archive is damaged.
+
+
+def _warc_folder(s, d, damaged=False):
+    """The pages as gzip WARC files, written by the tasks; with some members damaged in the middle."""
     folder = shared_folder(s, "warc-")
 
     filesystem_of = warc.filesystem_of
@@ -61,7 +64,11 @@ def _warc_folder(s, d):
                     head = (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {row.url}\r\n"
                             f"WARC-Record-ID: {row.warc_id}\r\nWARC-Date: {row.warc_date}\r\n"
                             f"Content-Length: {len(block)}\r\n\r\n").encode()
-                    out.write(gzip.compress(head + block + b"\r\n\r\n"))
+                    member = gzip.compress(head + block + b"\r\n\r\n")
+                    if damaged and kind == "response" and row.page_id % DAMAGED_EVERY == DAMAGED_AT:
+                        middle = len(member) // 2
+                        member = member[:middle] + bytes(255 - b for b in member[middle:middle + 8]) + member[middle + 8:]
+                    out.write(member)
             yield pd.DataFrame({"n": [len(frame)]})
         if out:
             out.close()
@@ -78,6 +85,14 @@ def s01_read_warc(s, d):
                           F.md5(html.decode(F.col("payload"))).alias("payload_md5"))
 
 
+@query
+def s01_read_damaged_warc(s, d):
+    """Archives with damaged members: all sound records, and a row without payload for each damaged place."""
+    records = warc.read_warc(s, _warc_folder(s, d, damaged=True), rejects=True)
+    return records.groupBy(F.regexp_extract("warc_file", r"part-(\d+)", 1).cast("int").alias("warc_file"), "status").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("payload")), F.lit(0)).alias("bytes"))
+
+
 @query
 def s02_cap_records_per_file(s, d):
     return warc.cap_records(w.page_records(s, d).select("warc_file", "record_no", "url"), 20)
@@ -129,17 +144,26 @@ def s09_read_parquet(s, d):
 
 @query
 def s10_write_parquet(s, d):
+    """One language after the other is written over the one before; all are read back in between."""
     folder = shared_folder(s, "table-")
-    for lang in ("fr", "en"):
-        tables.write_parquet(w.table(s, d, "documents").filter(F.col("lang") == lang), folder)
-    return tables.read_parquet(s, folder, ["doc_id", "lang", "n_chars"])
+    docs = w.table(s, d, "documents")
+    found = []
+    for lang in ("de", "en", "es", "fr"):
+        tables.write_parquet(docs.filter(F.col("lang") == lang), folder)
+        found.append(tables.read_parquet(s, folder, ["lang", "n_chars"]).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars")).first())
+    rest = docs.filter(F.coalesce(F.col("lang"), F.lit("")).isin("de", "en", "es", "fr") == F.lit(False))
+    tables.write_parquet(rest.unionByName(docs.filter("lang = 'en'")), folder)
+    left = tables.read_parquet(s, folder, ["doc_id", "lang", "n_chars"])
+    before = s.createDataFrame([r for r in found if r], "lang string, n long, n_chars long")
+    return left.groupBy("lang").agg(F.count(F.lit(1)).alias("n_left"), F.sum("n_chars").alias("chars_left")).join(before, "lang", "full")
 
 
 @query
 def s11_append_parquet(s, d):
     folder = shared_folder(s, "table-")
-    for lang in ("fr", "en"):
-        tables.append_parquet(w.table(s, d, "documents").filter(F.col("lang") == lang), folder)
+    docs = w.table(s, d, "documents")
+    for part in range(4):  # All documents, in four appends.
+        tables.append_parquet(docs.filter(F.pmod("doc_id", F.lit(4)) == part), folder)
     return tables.read_parquet(s, folder, ["doc_id", "lang", "n_chars"])
 
 
@@ -278,14 +302,24 @@ def h16_truncate(s, d):
     return cut.select("doc_id", *[F.md5(c).alias(c) for c in ("title", "snippet", "meta_description")])
 
 
+# Bodies that are lost for a reason, with the remainders of the page ids that get them; the first one counts.
+LOST_BODIES = [
+    (5, 2, "unknown language", "<title>Новости</title><p>Сегодня в городе открыли новый мост через реку. Движение начнётся завтра.</p>"),
+    (7, 3, "no title", "<title> </title><p>A page without a title, whose text is long enough.</p>"),
+    (11, 4, "xml page", "<?xml version='1.0'?><title>Feed</title><p>An item of a feed that is long enough.</p>"),
+    (13, 5, "short snippet", "<title>S</title><p>Few.</p>"),
+]
+
+
 @query
 def h17_rejected_rows(s, d):
-    # Documents as pages: the first line as title, the rest up to the first dot as snippet.
-    docs = w.table(s, d, "documents", "source", "text")
-    line = F.substring_index("text", "\n", 1)
-    return extract.rejected_count(docs.select(
-        F.col("source").alias("url"), F.when(F.char_length(line) > 20, line).alias("title"),
-        F.substring_index("text", " ", 2).alias("snippet")))
+    """What becomes of every record of damaged archives, by reason; some pages have bodies that are lost."""
+    records = warc.read_warc(s, _warc_folder(s, d, damaged=True), rejects=True)
+    page = F.split_part("warc_id", F.lit(":"), F.lit(2)).cast("long")
+    payload = F.when(F.col("payload").isNull(), None)
+    for divisor, rest, _, body in LOST_BODIES:
+        payload = payload.when(page % divisor == rest, F.lit("HTTP/1.1 200 OK\r\n\r\n" + body).cast("binary"))
+    return corpus.extraction_report(records.withColumn("payload", payload.otherwise(F.col("payload"))), _language_model(s, d), 2)
 
 
 # ---------------------------------------------------------------- labelling
@@ -629,12 +663,48 @@ def _examples(s, d):
 @query
 def m01_train_classifier(s, d):
     examples = features.with_split(_examples(s, d))
-    trained = model.train(examples.filter("split = 'train'"))
+    trained = model.train(examples, held_out=F.col("split") == "validation")
     held_out = trained.transform(examples.filter("split = 'validation'"))
     held_out = held_out.withColumn("y", F.col("label_vector").cast("array<int>"))
     return metrics.count_metrics(metrics.confusion(held_out)).unionByName(metrics.exact_match(held_out))
 
 
+@query
+def m01_trained_labels(s, d):
+    """Examples and scores by label, and whether the training did what it should: every epoch has a lower loss, training
+    ends by itself, and the epoch kept is the best one on the rows held out and better than no training."""
+    examples = features.with_split(_examples(s, d)).persist()
+    most = 200
+    trained = model.train(examples, held_out=F.col("split") == "validation", epochs=most)
+    loss = [h[1] for h in trained.history]
+    f1 = [h[2] for h in trained.history]
+    kept = next(h for h in trained.history if h[3])
+    scored = trained.transform(examples).select("split", F.posexplode("label_vector").alias("label_idx", "y"), "prob")
+    is_held = F.col("split") == "validation"
+    prob = F.get("prob", F.col("label_idx"))
+    return scored.groupBy("label_idx").agg(
+        F.count(F.when(~is_held, 1)).alias("n_train"), F.count(F.when(is_held, 1)).alias("n_validation"),
+        F.sum(F.when(~is_held, F.col("y")).otherwise(0)).cast("long").alias("y_train"),
+        F.sum(F.when(is_held, F.col("y")).otherwise(0)).cast("long").alias("y_validation"),
+        F.count(F.when(prob.between(0, 1), 1)).alias("n_scored"),
+    ).withColumns({"loss_falls": F.lit(all(b < a for a, b in zip(loss, loss[1:]))), "ends_by_itself": F.lit(1 < len(loss) <= most),
+                   "kept_is_best": F.lit(kept[2] == max(f1[1:]) and kept[2] > f1[0])})
+
+
+@query
+def m02_score_with_trained_model(s, d):
+    """Pages scored by a model that was trained, saved as a version, and loaded again; for each label the pages scored, and
+    whether probabilities tell pages that have the label from those that do not."""
+    examples = _examples(s, d).persist()
+    store = shared_folder(s, "models-")
+    model.train(examples, epochs=20).save(s, store, "1")
+    scored = model.MultiLabelModel.load(s, store, "1").transform(examples)
+    rows = scored.select(F.posexplode("prob").alias("label_idx", "prob"), "label_vector")
+    y = F.get("label_vector", F.col("label_idx"))
+    with_label, without = F.avg(F.when(y == 1, F.col("prob"))), F.avg(F.when(y == 0, F.col("prob")))
+    return rows.groupBy("label_idx").agg(F.count("prob").alias("n"), F.coalesce(with_label > without, F.lit(True)).alias("tells_apart"))
+
+
 @query
 def m02_score_pages(s, d):
     def open_scorer():

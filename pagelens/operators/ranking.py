@@ -1,14 +1,20 @@
 """Running totals, row numbers and first-n over a whole table, without a single-task window.
 
-Rows are dealt into ``2 ** depth`` contiguous value ranges with about equal row counts. Each range
-is summed on its own, the few range totals are accumulated, and a row's running total is the total
-of the earlier ranges plus the running total inside its range. The result is exact for any range
+Rows are dealt into contiguous value ranges with about equal row counts, as many as there are shuffle partitions (in
+powers of two). Each range is summed on its own, the few range totals are accumulated, and a row's running total is the
+total of the earlier ranges plus the running total inside its range. The result is exact for any range
 limits; the limits only balance the tasks.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagelens.functions.stages import computed
+from pagelens.session import shared_folder
+
+
+def range_depth(df: DataFrame) -> int:
+    """The power of two that is the number of shuffle partitions, or the next larger one."""
+    return max(1, (int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
 def range_limits(df: DataFrame, value: str, depth: int) -> Column:
@@ -28,7 +34,7 @@ def range_number(value: Column, limits: Column, depth: int) -> Column:
 
 
 def with_running_totals(df: DataFrame, value: str, totals: dict[str, str], groups=(), descending=False,
-                        ties=(), depth: int = 6, ranges_of: DataFrame | None = None) -> DataFrame:
+                        ties=(), depth: int | None = None, ranges_of: DataFrame | None = None) -> DataFrame:
     """Add running totals of columns in the order of a numeric column, per group.
 
     ``totals`` maps each new column to the column it sums. Rows with equal values are told apart by
@@ -36,6 +42,7 @@ def with_running_totals(df: DataFrame, value: str, totals: dict[str, str], group
     columns must be few-valued and not NULL.
     """
     columns = df.columns
+    depth = depth or range_depth(df)
     limits = range_limits(ranges_of if ranges_of is not None else df, value, depth)
     df = df.withColumn("_limits", limits)
     df = df.withColumn("_range", range_number(F.col(value), F.col("_limits"), depth)).drop("_limits")
@@ -61,19 +68,38 @@ def with_running_totals(df: DataFrame, value: str, totals: dict[str, str], group
         *[(F.col(f"_before_{t}") + F.col(f"_inside_{t}")).alias(t) for t in totals])
 
 
-def with_row_numbers(df: DataFrame, order: str, ties=(), out: str = "row_no", depth: int = 6) -> DataFrame:
+def with_row_numbers(df: DataFrame, order: str, ties=(), out: str = "row_no", depth: int | None = None) -> DataFrame:
     """Number the rows of a table from 1 in the order of a numeric column."""
     numbered = with_running_totals(df.withColumn("_one", F.lit(1)), order, {out: "_one"}, ties=ties, depth=depth)
     return numbered.drop("_one")
 
 
-def first_rows(df: DataFrame, n: int, order: str, ties=(), depth: int = 6) -> DataFrame:
+def first_rows(df: DataFrame, n: int, order: str, ties=(), depth: int | None = None) -> DataFrame:
     """First ``n`` rows in the order of a numeric column, for an ``n`` too large for one task."""
     numbered = with_row_numbers(df, order, ties, "_row_no", depth)
     return numbered.filter(F.col("_row_no") <= n).drop("_row_no")
 
 
-def exact_quantiles(counted: DataFrame, groups, shares, value: str = "value", n: str = "n", depth: int = 6) -> DataFrame:
+def numbered(df: DataFrame, *order, out: str = "row_no") -> DataFrame:
+    """Number the rows of a table from 1 in any order, of texts too.
+
+    The rows are dealt by ranges of the order, as many as there are shuffle partitions, and written to the shared folder, so
+    both passes see the same ranges: the first counts them, the second numbers their rows behind those of all
+    earlier ones. Rows that are equal in the order may come in any order.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, "ranges-")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()).write.parquet(folder)
+    dealt = spark.read.parquet(folder)
+    in_order = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # One row for each range.
+    before = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
+    inside = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return inside.join(before, "_range").select(*df.columns, (F.col("_before") + F.col("_inside")).alias(out))
+
+
+def exact_quantiles(counted: DataFrame, groups, shares, value: str = "value", n: str = "n", depth: int | None = None) -> DataFrame:
     """Linearly interpolated quantiles per group of a table of distinct values and their counts.
 
     Adds nothing up in one task: positions come from running totals, and each quantile picks the two

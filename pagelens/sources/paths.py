@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagelens.functions import text as tx
+from pagelens.operators import ranking
 
 
 def read_path_list(spark: SparkSession, listing: str, base_url: str = "") -> DataFrame:
@@ -17,13 +18,14 @@ def read_path_list(spark: SparkSession, listing: str, base_url: str = "") -> Dat
 
 
 def first_paths(paths: DataFrame, n: int, order: str = "line_no") -> DataFrame:
-    return paths.orderBy(order).limit(n)
+    """The first ``n`` paths in an order; no task gets more than a range of them, however large ``n`` is."""
+    return ranking.numbered(paths, order, out="_place").filter(F.col("_place") <= n).drop("_place")
 
 
 def sample_paths(paths: DataFrame, n: int, seed: int = 1, key: str = "path") -> DataFrame:
-    """Random sample of ``n`` paths that is the same for the same seed."""
-    return (paths.withColumn("_draw", F.md5(F.concat(F.col(key), F.lit(str(seed)))))
-            .orderBy("_draw", key).limit(n).drop("_draw"))
+    """Random sample of ``n`` paths that is the same for the same seed: those with the smallest digests."""
+    drawn = paths.withColumn("_draw", F.md5(F.concat(F.col(key), F.lit(str(seed)))))
+    return ranking.numbered(drawn, "_draw", key, out="_place").filter(F.col("_place") <= n).drop("_draw", "_place")
 
 
 def not_processed(paths: DataFrame, processed: DataFrame, key: str = "path") -> DataFrame:
