@@ -2,9 +2,10 @@
 
 from pyspark.sql import Window, functions as F
 
-from pagelens.llm.encoding import WordEncoder, documents, text_slices, with_end
+from pagelens.llm.encoding import WordEncoder, documents, kept_in_worker, small_batches, text_slices, with_end
 
 SCHEMA = "doc_id long, part int, first long, n_tokens long, tokens array<int>"
+OFFSETS = "_offsets"  # Below the folder of the files; hidden from a read of the folder.
 
 
 def write_tokens(docs, folder, tokenizer, end_id=2, id_column="doc_id", text_column="text", partitions=None,
@@ -21,13 +22,14 @@ def write_tokens(docs, folder, tokenizer, end_id=2, id_column="doc_id", text_col
     table gives an empty file set.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches):
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
-        encoder = WordEncoder(tokenizer)
+        encoder = kept_in_worker(WordEncoder, tokenizer)
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for keys, texts in text_slices(batch):
@@ -47,21 +49,23 @@ def write_tokens(docs, folder, tokenizer, end_id=2, id_column="doc_id", text_col
      .option("parquet.enable.dictionary", "true").option("parquet.enable.dictionary#doc_id", "false")
      .option("parquet.enable.dictionary#first", "false").option("parquet.enable.dictionary#n_tokens", "false")
      .option("compression", "zstd").parquet(folder))
+    # The counters of each file alone; one row a file, in a table whose size Spark knows.
+    sizes = spark.read.parquet(folder).groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base")).write.parquet(f"{folder}/{OFFSETS}")
 
 
 def read_tokens(spark, folder, doc_ids=None, tokens=True):
     """Documents of the files: doc_id, start (ids of all earlier documents), n_tokens and, unless only the
     counters are wanted, tokens. ``doc_ids``, a list, is pushed down to the page indexes.
 
-    The offset of each file comes from its counters alone; there is one row per file in that sum.
+    The offset of each file is in a small table beside the files.
     """
     stored = spark.read.parquet(folder)
-    sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("_size"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    bases = spark.read.parquet(f"{folder}/{OFFSETS}")
     if doc_ids is not None:
         stored = stored.filter(F.col("doc_id").isin([int(x) for x in doc_ids]))
-    columns = ["doc_id", (F.col("_base") + F.col("first")).alias("start"), "n_tokens"] + ["tokens"] * tokens
+    columns = ["doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens"] + ["tokens"] * tokens
     return stored.join(bases, "part").select(*columns)
 
 
@@ -80,4 +84,5 @@ def checksums(stored):
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "start", "n_tokens")]
                                              + [pa.array(sums, "int64")], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
+    small_batches(stored.sparkSession)
     return stored.mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
