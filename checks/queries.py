@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import views as w
 from pagelens.functions import html, text as tx, url as u, vectors as v
+from pagelens import schemas
 from pagelens.labels import LABELS, index_of, label_array, label_dimension
 from pagelens.operators import (
     analysis, clean, embedding, extract, features, labelling, language, metrics, model, ranking, scorematrix,
@@ -654,7 +655,7 @@ def a15_multi_label_samples(s, d):
 # --------------------------------------------------------- training, scores
 def _examples(s, d):
     """Pages with text and the local labeller's labels."""
-    labelled = labelling.label_pages(tables.spread(_titles(s, d)), labelling.keyword_labeller(KEYWORDS))
+    labelled = tables.spread(_titles(s, d)).withColumn("category", labelling.keyword_labels(KEYWORDS))
     return labelled.withColumns({
         "text": tx.model_text(F.col("url"), F.col("title")),
         "label_vector": labelling.multi_hot(labelling.clean_labels(F.col("category")))})
@@ -1001,7 +1002,17 @@ def t02_extract_new_files(s, d):
     for _ in range(2):  # The second run finds nothing new.
         crawl.extract_new_files(s, folder, out, state, trained, max_per_domain=2,
                                 max_files_per_trigger=8).awaitTermination()
-    return s.read.parquet(out).select("url", "title", "warc_id", "content_type", "server", "meta_description")
+    return s.read.parquet(out).select(*schemas.EXTRACTED.fieldNames())
+
+
+@query
+def t02_stop_at_target(s, d):
+    """A stream that stops within one file of its target: files in the order of their paths, all in one batch."""
+    folder = _warc_folder(s, d)
+    out, state = shared_folder(s, "extracted-"), shared_folder(s, "state-")
+    target = w.table(s, d, "pages", "page_id").count() // 3
+    crawl.extract_new_files(s, folder, out, state, _language_model(s, d), max_per_domain=2, target=target, max_files_per_trigger=1 << 16).awaitTermination()
+    return s.read.parquet(out).select("url", "warc_id")
 
 
 @query
@@ -1027,5 +1038,5 @@ def label_profile(s, d):
     """The flagship: pages to title, snippet, language, cap, labels and features, and a profile per label."""
     trained = _language_model(s, d)
     pages = corpus.extracted_pages(tables.spread(w.page_records(s, d)), trained)
-    named = labelling.label_pages(pages, labelling.keyword_labeller(KEYWORDS))
+    named = pages.withColumn("category", labelling.keyword_labels(KEYWORDS))
     return corpus.label_profile(corpus.cleaned_features(labelling.successful(named), "record_no"))

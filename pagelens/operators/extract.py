@@ -70,6 +70,8 @@ def cap_per_domain(pages: DataFrame, n: int = MAX_PER_DOMAIN, scope: str = "file
         raise ValueError("scope is 'file' or 'corpus'")
     keys = ["warc_file", "domain"] if scope == "file" else ["domain"]
     order = [order] if isinstance(order, str) else list(order)
+    if scope == "corpus":  # Record numbers repeat from file to file.
+        order += [c for c in ("warc_file",) if c in pages.columns and c not in order]
     first = Window.partitionBy(*keys).orderBy(*order)
     return pages.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= n).drop("_n")
 

@@ -6,6 +6,7 @@ import time
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pagelens.functions import text as tx
+from pagelens.functions.stages import let
 from pagelens.labels import LABELS, MAX_LABELS_PER_PAGE, UNCATEGORIZED
 from pagelens.operators import ranking
 
@@ -133,6 +134,14 @@ def successful(labelled: DataFrame) -> DataFrame:
     return labelled.filter(is_valid(F.col("category")))
 
 
+def keyword_labels(keywords: dict[str, str], columns=("url", "title")) -> Column:
+    """The answer of ``keyword_labeller`` as a column, for labels that need no service."""
+    text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    found = let(text, lambda t: F.array(*[F.when(F.contains(t, F.lit(word)), F.lit(label)) for word, label in keywords.items()]))
+    first = F.slice(F.array_distinct(F.filter(found, lambda x: x.isNotNull())), 1, MAX_LABELS_PER_PAGE)
+    return let(first, lambda x: F.when(F.size(x) > 0, F.array_join(x, ",")).otherwise(UNCATEGORIZED))
+
+
 def keyword_labeller(keywords: dict[str, str], columns=("url", "title")):
     """A local labeller: the labels of the keywords found in the columns, in keyword order, at most three."""
     def label_batch(frame):

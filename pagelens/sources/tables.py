@@ -27,6 +27,14 @@ def append_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_once(df: DataFrame, path: str, run: str) -> None:
+    """Add the rows of one run to the table; a run that is repeated, after a failure or by mistake, replaces its own rows and
+    adds nothing twice. The table has the column ``run``."""
+    if not run or "/" in run:
+        raise ValueError("a run is named by a text without '/'")
+    df.write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """CSV with a header; blank lines are skipped, values are cast by the schema."""
     return spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', mode="PERMISSIVE")

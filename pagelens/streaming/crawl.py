@@ -1,6 +1,6 @@
 """Incremental extraction of new WARC files and incremental labelling."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pagelens.operators import labelling
 from pagelens.plans import corpus
@@ -21,17 +21,23 @@ def extract_new_files(spark: SparkSession, folder: str, out: str, checkpoint: st
     """Extract files that appeared since the last run and append the pages; ends when none is left.
 
     A file belongs to one micro-batch, so the cap per file and domain needs no state. Each batch
-    writes its own sub-folder and replaces it when it is repeated, so a retry adds nothing twice. No
-    batch is extracted once the target number of rows is reached.
+    writes its own sub-folder and replaces it when it is repeated, so a retry adds nothing twice. With a
+    target, the files of a batch count in the order of their paths: the one that reaches the target is the last
+    one whose pages are added, and no later batch is extracted.
     """
     def extract(files: DataFrame, batch_id: int):
         session = files.sparkSession
-        if target is not None and _rows_in(session, out) >= target:
+        missing = target - _rows_in(session, f"{out}/batch=*", before=batch_id) if target is not None else None
+        if missing is not None and missing <= 0:
             return
-        # One task per file: files are large and cannot be split.
-        files = files.repartition(max_files_per_trigger, "path")
+        # One task per file, as files are large and cannot be split: ranges of distinct paths are the paths.
+        files = files.repartitionByRange(max_files_per_trigger, "path")
         records = warc.read_warc_files(files, max_records_per_file)
         pages = corpus.extracted_pages(records, language_model, max_per_domain)
+        if missing is not None:
+            staged = f"{out}/_staged/batch={batch_id}"
+            tables.write_parquet(pages, staged)
+            pages = first_files(tables.read_parquet(session, staged), missing)
         tables.write_parquet(pages, f"{out}/batch={batch_id}")
 
     stream = new_files(spark, folder, max_files_per_trigger)
@@ -39,9 +45,19 @@ def extract_new_files(spark: SparkSession, folder: str, out: str, checkpoint: st
             .trigger(availableNow=True).start())
 
 
-def _rows_in(spark, path):
+def first_files(pages: DataFrame, n: int) -> DataFrame:
+    """The pages of the first files, in the order of their paths, until there are ``n`` pages or more."""
+    in_order = Window.orderBy("warc_file").rowsBetween(Window.unboundedPreceding, -1)  # One row for each file of a batch.
+    files = pages.groupBy("warc_file").agg(F.count(F.lit(1)).alias("_n"))
+    files = files.withColumn("_before", F.coalesce(F.sum("_n").over(in_order), F.lit(0))).filter(F.col("_before") < n)
+    return pages.join(files.select("warc_file"), "warc_file", "left_semi")
+
+
+def _rows_in(spark, path, before):
+    """Rows of the sub-folders of earlier batches."""
     try:
-        return spark.read.parquet(path).count()
+        rows = spark.read.option("basePath", path.rsplit("/", 1)[0]).parquet(path)
+        return rows.filter(F.col("batch") < before).count()
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return 0

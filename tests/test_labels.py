@@ -243,3 +243,11 @@ def test_training_on_odd_examples(spark):
     model.train(spark.createDataFrame(some, schema), n_features=64, epochs=3)
     nothing = model.train(spark.createDataFrame([], schema), n_features=64, epochs=3)
     assert nothing.transform(spark.createDataFrame([("x",)], "text string")).first().prob == [0.0] * 11
+
+
+def test_keyword_labels_are_those_of_the_labeller(spark):
+    keywords = {"blog.": "Entertainment", "shop": "Shop", "/fr/": "Travel", "tion": "News", "heed": "Health", "buy": "Shop"}
+    data = [("http://blog.x/fr/shop", "ption heed"), ("http://a/", None), (None, None), ("http://shop", "buy it"), ("x", "no words"), ("", "")]
+    df = spark.createDataFrame(data, "url string, title string")
+    found = [r.c for r in df.select(labelling.keyword_labels(keywords).alias("c")).collect()]
+    assert found == labelling.keyword_labeller(keywords)(pd.DataFrame(data, columns=["url", "title"]))

@@ -58,6 +58,41 @@ def test_only_new_files_are_extracted(spark, tmp_path, language_model):
     assert set(schemas.EXTRACTED.fieldNames()) <= set(batch.columns)
 
 
+def test_extraction_stops_within_a_file_of_the_target(spark, tmp_path, language_model):
+    folder, out = tmp_path / "warc", str(tmp_path / "out")
+    folder.mkdir()
+    for name in "dacb":
+        write_warc(folder / f"{name}.warc.gz", [(f"http://{name}{i}/", page(i)) for i in range(3)])
+
+    def run(target):
+        crawl.extract_new_files(spark, str(folder), out, str(tmp_path / "state"), language_model, target=target).awaitTermination()
+        return sorted(r.url for r in spark.read.parquet(out).collect())
+
+    first = run(4)
+    assert first == [f"http://{name}{i}/" for name in "ab" for i in range(3)]
+    write_warc(folder / "e.warc.gz", [("http://e/", page(1))])
+    assert run(6) == first
+    write_warc(folder / "f.warc.gz", [("http://f/", page(1))])
+    assert run(7) == first + ["http://f/"]
+
+
+def test_repeated_appends_add_nothing_twice(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.append_once(spark.range(5), path, "a")
+    tables.append_once(spark.range(5, 8), path, "b")
+
+    def failing(x):
+        raise RuntimeError
+
+    with pytest.raises(Exception):
+        tables.append_once(spark.range(9).select(F.udf(failing, "long")("id").alias("id")), path, "c")
+    tables.append_once(spark.range(5, 8), path, "b")
+    tables.append_once(spark.range(8, 10), path, "c")
+    assert sorted(r.id for r in tables.read_parquet(spark, path).collect()) == list(range(10))
+    with pytest.raises(ValueError):
+        tables.append_once(spark.range(1), path, "a/b")
+
+
 def test_visits_as_stream_and_table(spark, tmp_path):
     data = [(1, "http://a/", "T", "complete"), (2, "http://b/", None, "complete"), (3, "http://c/", "T", "loading"),
             (4, "moz-extension://x", "T", "complete"), (5, None, "T", "complete"), (6, "", "T", "complete")]
