@@ -119,22 +119,28 @@ def _added_up(parts: DataFrame, levels) -> dict:
 
 
 class _Objective:
-    """Mean loss over the training rows, its gradient, and the counts of the held-out rows, in one pass."""
+    """Mean loss over the training rows, its gradient, and the counts of the held-out rows, in one pass.
 
-    def __init__(self, prepared: DataFrame, rarity, n_labels: int, tasks: int, regularisation: float):
-        self.prepared, self.rarity, self.n_labels, self.regularisation = prepared, rarity, n_labels, regularisation
-        self.buckets = max(1, math.isqrt(tasks))
+    The features in use are numbered anew, so that weights and gradient are as long as needed; ``place`` has the number of
+    each, and that of a feature without weight for the others. The sums of up to FAN tasks are added up at once, those
+    of more in two steps.
+    """
+    FAN = 64
+
+    def __init__(self, prepared: DataFrame, place, rarity, n_labels: int, tasks: int, regularisation: float):
+        self.prepared, self.place, self.rarity, self.n_labels, self.regularisation = prepared, place, rarity, n_labels, regularisation
+        self.buckets = math.isqrt(tasks) if tasks > self.FAN else 1
 
     def __call__(self, theta):
         """``theta`` has the weights in its first rows and the bias in the last one."""
         import numpy as np
         n_features, n_labels, buckets = len(self.rarity), self.n_labels, self.buckets
-        shared = self.prepared.sparkSession.sparkContext.broadcast((theta, self.rarity))
+        shared = self.prepared.sparkSession.sparkContext.broadcast((theta, self.place, self.rarity))
 
         def run(batches):
             import pyarrow as pa
             from pyspark import TaskContext
-            theta, rarity = shared.value
+            theta, place, rarity = shared.value
             weights, bias = theta[:-1] * rarity[:, None], theta[-1]
             gradient = np.zeros((n_features, n_labels))
             sums = np.zeros((6, n_labels))  # loss, rows, gradient of the bias, and of held-out rows tp, fp, fn
@@ -142,6 +148,7 @@ class _Objective:
                 truth = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_labels)
                 held = batch.column(2).to_numpy(zero_copy_only=False)
                 for row, sizes, indexes in _slices(batch.column(0)):
+                    indexes = place[indexes]
                     z, y, out = _logits(sizes, indexes, weights, bias), truth[row:row + len(sizes)], held[row:row + len(sizes)]
                     error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) * ~out[:, None]
                     sums[0] += ((np.logaddexp(0, z) - y * z) * ~out[:, None]).sum(axis=0)
@@ -158,7 +165,7 @@ class _Objective:
                                               pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "part", "data"])
 
         parts = self.prepared.mapInArrow(run, "block int, part int, data binary")
-        blocks = _added_up(parts, [("block", "part"), ("block",)])
+        blocks = _added_up(parts, [("block", "part"), ("block",)] if buckets > 1 else [("block",)])
         shared.destroy()
         sums = np.frombuffer(blocks.pop(0), "float64").reshape(6, n_labels)
         n = max(sums[1, 0], 1)
@@ -209,11 +216,12 @@ def _minimised(objective, theta, epochs: int, tolerance: float, memory: int = 10
 
 
 def train(examples: DataFrame, text: str = "text", y: str = "label_vector", labels=LABELS, n_features: int = 1 << 16,
-          epochs: int = 100, regularisation: float = 1e-4, tolerance: float = 1e-4, held_out: Column | None = None,
+          epochs: int = 100, regularisation: float = 1e-4, tolerance: float = 1e-3, patience: int = 10, held_out: Column | None = None,
           tasks: int | None = None, checkpoint: str | None = None, start: MultiLabelModel | None = None) -> MultiLabelModel:
     """Fit one logistic regression per label, and keep the best epoch.
 
-    ``epochs`` bounds the steps; training ends earlier when a step gains less than ``tolerance`` of the loss. Rows for which
+    ``epochs`` bounds the steps; training ends earlier when a step gains less than ``tolerance`` of the loss, or when the
+    macro F1 of the rows held out has not grown for ``patience`` steps. Rows for which
     ``held_out`` holds are not trained on: the epoch with the highest macro F1 on them is kept, the earliest of equal ones;
     without such rows the last one, whose loss is lowest. Examples with a NULL or wrongly sized vector are left out.
     They are dealt into ``tasks`` parts, and their features kept, as every epoch reads them again.
@@ -232,25 +240,37 @@ def train(examples: DataFrame, text: str = "text", y: str = "label_vector", labe
         trained = prepared.filter("NOT held")
         counts = trained.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(F.col("y")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(len(labels))]).first()
         used = trained.select(F.explode(F.array_distinct("indexes")).alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()
-        rarity = np.zeros(n_features)
-        rarity[[r.feature for r in used]] = [math.log((counts.n + 1) / (r.n + 1)) for r in used]
-        objective = _Objective(prepared, rarity, len(labels), tasks, regularisation)
-        first = np.zeros((n_features + 1, len(labels)))
+        used = sorted((r.feature, r.n) for r in used)
+        features = np.array([f for f, _ in used], "int64")
+        place = np.full(n_features, len(used), "int32")
+        place[features] = np.arange(len(used))
+        rarity = np.array([math.log((counts.n + 1) / (n + 1)) for _, n in used] + [0.0])  # The last one stands for all others.
+        objective = _Objective(prepared, place, rarity, len(labels), tasks, regularisation)
+
+        def weights_of(theta):
+            weights = np.zeros((n_features, len(labels)))
+            weights[features] = theta[:-2] * rarity[:-1, None]
+            return weights
+
+        first = np.zeros((len(used) + 2, len(labels)))
         if start is not None:
-            first[:-1] = np.divide(start.weights, rarity[:, None], out=first[:-1], where=rarity[:, None] > 0)
+            known = start.weights[features]
+            first[:-2] = np.divide(known, rarity[:-1, None], out=np.zeros_like(known), where=rarity[:-1, None] > 0)
             first[-1] = np.where(np.isfinite(start.bias), start.bias, 0)
         best, history = None, []
         for epoch, loss, f1, theta in _minimised(objective, first, epochs, tolerance):
             history.append((epoch, loss, f1))
             if checkpoint and epoch:
-                MultiLabelModel(theta[:-1] * rarity[:, None], theta[-1], labels, [(*h, h[0] == epoch) for h in history]).save(
+                MultiLabelModel(weights_of(theta), theta[-1], labels, [(*h, h[0] == epoch) for h in history]).save(
                     spark, checkpoint, f"epoch-{epoch}")
             if epoch and (best is None or f1 is None or f1 > history[best[0]][2]):
                 best = epoch, theta
+            elif epoch and epoch - best[0] >= patience:
+                break
     finally:
         prepared.unpersist()
-    theta = best[1] if best else np.zeros((n_features + 1, len(labels)))
-    weights, bias = theta[:-1] * rarity[:, None], theta[-1].copy()
+    theta = best[1] if best else first
+    weights, bias = weights_of(theta), theta[-1].copy()
     for i, total in enumerate(counts[1:]):
         if total in (0, counts.n):
             weights[:, i], bias[i] = 0, math.inf if total and counts.n else -math.inf

@@ -183,14 +183,15 @@ def _examples(spark, n=400):
     return spark.createDataFrame(data, "id int, text string, label_vector array<double>, held boolean")
 
 
-def test_objective_is_loss_and_gradient(spark):
+@pytest.mark.parametrize("tasks", [5, 100])
+def test_objective_is_loss_and_gradient(spark, tasks):
     """The sums of one pass against plain numpy, and the gradient against differences of the loss."""
     import numpy as np
     rng = np.random.default_rng(1)
     rows = [(rng.integers(0, 30, rng.integers(0, 8)).tolist(), rng.integers(0, 2, 3).astype(float).tolist(), bool(rng.random() < 0.3)) for _ in range(50)]
     prepared = spark.createDataFrame(rows, "indexes array<int>, y array<double>, held boolean").repartition(5)
     rarity = rng.random(30) + 0.5
-    objective = model._Objective(prepared, rarity, 3, 9, 0.01)
+    objective = model._Objective(prepared, np.arange(30), rarity, 3, tasks, 0.01)
     theta = rng.normal(size=(31, 3))
     loss, gradient, f1 = objective(theta)
 
