@@ -238,6 +238,47 @@ def test_search(spark):
     assert search.top_k(integer.limit(0), integer).count() == 0
 
 
+def best_of(vectors, queries, k):
+    """(query, rank, id, score) by brute force; both are lists of (id, list of integers)."""
+    found = collections.Counter()
+    for q, x in queries:
+        scores = sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in vectors if i is not None and i != q)[:k]
+        found.update((q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1) if q is not None)
+    return found
+
+
+@pytest.mark.parametrize("block_rows", [3, 1000])
+def test_search_with_odd_rows(spark, block_rows):
+    big = 9007199254740993
+    data = [(1, [1, 2]), (1, [3, -4]), (2, []), (3, [5]), (None, [9, 9]), (big, [1, 1, 1]), (big - 1, [1, 1, 1]), (-(2 ** 63), [2, 2]), (4, [0, 0, 0]),
+            (4, [0, 0, 0]), (5, [2 ** 25, -2 ** 25]), (6, [2 ** 26 - 1] * 3)]
+    frame = spark.createDataFrame([(i, v, "x", 1, 2) for i, v in data], "vec_id long, vector array<long>, q string, d int, stripe int")
+    found = search.top_k(frame, frame, k=4, block_rows=block_rows).collect()
+    assert collections.Counter((r.query_id, r.rank, r.vec_id, r.score) for r in found) == best_of(data, data, 4)
+
+
+def test_vectors_that_take_no_part(spark):
+    data = [(1, [0.5]), (2, None), (3, [None]), (4, [float("nan")]), (5, [float("-inf")]), (6, [2.0 ** 20]), (7, []), (None, [1.0])]
+    found = search.integer_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    assert sorted((r.vec_id or 0, list(r.vector)) for r in found.collect()) == [(0, [64]), (1, [32]), (7, [])]
+
+
+@pytest.mark.parametrize("clusters, most", [(4, 0.5), (10, 0.3), (40, 0.1)])
+def test_search_cuts_pairs_of_nodes(clusters, most):
+    rng = np.random.default_rng(clusters)
+    centers = rng.normal(0, 60, (clusters, 64))
+    points = np.floor(centers[rng.integers(0, clusters, 3000)] + rng.normal(0, 3, (3000, 64))).astype("int64")
+    ids = rng.permutation(3000)
+    found = search.Search(points[:200], ids[:200], 20)
+    for at in range(0, 3000, 1000):
+        found.meet(points[at:at + 1000], ids[at:at + 1000])
+    assert found.compared < most * found.pairs
+    scores = points[:200] @ points.T
+    scores[ids[:200][:, None] == ids] = search.ABSENT
+    order = np.lexsort((np.broadcast_to(ids, scores.shape), ~scores), axis=1)[:, :20]
+    assert (found.ids == ids[order]).all() and (found.scores == np.take_along_axis(scores, order, axis=1)).all()
+
+
 def test_chat(spark):
     r = random.Random(4)
     rows = []
