@@ -12,7 +12,7 @@ from pagelens.operators import (
 )
 from pagelens.plans import corpus
 from pagelens.session import shared_folder
-from pagelens.sources import paths, tables, warc
+from pagelens.sources import csvparts, paths, tables, warc
 from pagelens.streaming import crawl, visits
 
 QUERIES = {}
@@ -181,6 +181,16 @@ def s12_s13_csv_results(s, d):
     return back.select("url", n_true.alias("n_true"), n_pred.alias("n_pred"), F.round(v.total(F.col("prob")), 6).alias("sum_prob"))
 
 
+@query
+def s12_read_csv_in_parts(s, d):
+    """One CSV file of all documents, whose texts have quotes and line ends, read by many tasks."""
+    folder = shared_folder(s, "csv-")
+    docs = w.table(s, d, "documents", "doc_id", "text", "lang").withColumn("text", F.concat(F.lit('" ,\n"'), F.coalesce("text", F.lit("")), F.lit("\n\"")))
+    tables.write_csv(docs.coalesce(1), folder)
+    back = csvparts.read_csv_parts(s, f"{folder}/*.csv", "doc_id long, text string, lang string", chunk_bytes=100_000, bad_rows="bad")
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.nullif("lang", F.lit("")).alias("lang"), F.col("bad").isNull().alias("good"))
+
+
 @query
 def s14_required_columns(s, d):
     return tables.row_and_column_count(tables.require_columns(w.table(s, d, "pages"), ["url", "html"]))

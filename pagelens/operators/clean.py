@@ -40,20 +40,23 @@ def tail(df: DataFrame, n: int, order: str) -> DataFrame:
 
 
 def describe_numbers(df: DataFrame, names) -> DataFrame:
-    """count, mean, std, min, quartiles and max of numeric columns, one row per column, in one pass.
+    """count, mean, std, min, quartiles and max of numeric columns, one row per column.
 
-    Values are counted first; the quartiles come from running totals, so no task holds a column.
+    Distinct values are counted, and everything follows from these counts; the quartiles come from running
+    totals, so no task holds a column.
     """
     longs = df.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("column"), F.col(n).cast("double").alias("value")) for n in names])))
-    longs = longs.filter("value is not null")
-    stats = longs.groupBy("column").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    counted = longs.groupBy("column", "value").agg(F.count("*").alias("n"))
+    counted = longs.filter("value is not null").groupBy("column", "value").agg(F.count("*").alias("n"))
+    n, value = F.col("n"), F.col("value")
+    stats = counted.groupBy("column").agg(F.sum("n").alias("count"), (F.sum(n * value) / F.sum("n")).alias("mean"),
+                                          F.min("value").alias("min"), F.max("value").alias("max"))
+    squares = F.sum(n * (value - F.col("mean")) * (value - F.col("mean")))
+    spread = counted.join(stats.select("column", "mean", "count"), "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(squares, F.first("count") - 1)).alias("std"))
     quartiles = ranking.exact_quantiles(counted, ["column"], [0.25, 0.5, 0.75])
     quartiles = quartiles.toDF("column", "q1", "median", "q3")
-    return stats.join(quartiles, "column").select(
+    return stats.join(spread, "column").join(quartiles, "column").select(
         "column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 

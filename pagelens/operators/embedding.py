@@ -113,10 +113,14 @@ def density(pairs: DataFrame, low: float = 0.0, high: float = 2.0, points: int =
 
 
 def projected(items: DataFrame, vector: str = "embedding", k: int = 2, out: str = "projection") -> DataFrame:
-    """Add the first k principal components of each vector."""
+    """Add the first k principal components of each vector. A component's sign is the one that makes its largest
+    weight positive."""
     prepared = items.withColumn("_vector", array_to_vector(v.as_double(F.col(vector))))
     model = PCA(k=k, inputCol="_vector", outputCol="_projection").fit(prepared.select("_vector"))
-    return model.transform(prepared).withColumn(out, vector_to_array("_projection")).drop("_vector", "_projection")
+    weights = model.pc.toArray()
+    signs = F.array(*[F.lit(1.0 if max(column, key=abs) >= 0 else -1.0) for column in weights.T.tolist()])
+    values = F.zip_with(vector_to_array("_projection"), signs, lambda x, sign: x * sign)
+    return model.transform(prepared).withColumn(out, values).drop("_vector", "_projection")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -41,8 +41,8 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header and every value quoted, so that separators inside values survive."""
-    df.write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"')
+    """CSV with a header and every value quoted, so that separators and blanks inside values survive."""
+    df.write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def require_columns(df: DataFrame, names) -> DataFrame:
