@@ -313,16 +313,20 @@ def compared(texts, nodes, size, percent, result):
 
 
 def with_nodes(docs, columns, size=5, text_column="text"):
-    """The ``columns`` of every row and node, the digest of its set, NULL where the text has no shingles."""
-    rows = docs.select(F.lit(0).cast("long").alias("_key"), docs[text_column].cast("string").alias("_text"), F.struct(*columns).alias("_row"))
+    """The ``columns`` of every row, the text among them, and node, the digest of its set, NULL where the text has no
+    shingles. A text travels to the task once."""
+    rows = docs.select(F.struct(*columns).alias("_row"))
+    place = list(columns).index(text_column)
 
     def run(batches):
         import pyarrow as pa
         for batch in batches:
             at = 0
-            for keys, found in text_slices(batch, SLICE):
+            row = batch.column(0)
+            texts = pa.RecordBatch.from_arrays([pa.nulls(len(row)), row.field(place).cast(pa.string())], ["key", "text"])
+            for keys, found in text_slices(texts, SLICE):
                 digests = [digest(grams) if len(grams) else None for grams in shingle_sets(found, size)]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, "binary"), batch.column(2).slice(at, len(keys))], ["node", "_row"])
+                yield pa.RecordBatch.from_arrays([pa.array(digests, "binary"), row.slice(at, len(keys))], ["node", "_row"])
                 at += len(keys)
 
     return rows.mapInArrow(run, with_types(rows, "node binary", "_row")).select("_row.*", "node")

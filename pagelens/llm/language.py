@@ -176,7 +176,7 @@ def score_words(parameters, words):
     return out
 
 
-def predict(docs, model, id_column="doc_id", text_column="text", entries=200_000, carried=()):
+def predict(docs, model, id_column="doc_id", text_column="text", entries=50_000, carried=()):
     """doc_id, lang_pred, score (mean probability over the positions of
     its distinct words, 0 to 1), n_positions (bytes of letters),
     labels (positions labelled with each language, in the model's order).
@@ -195,7 +195,7 @@ def predict(docs, model, id_column="doc_id", text_column="text", entries=200_000
         known, width = {}, 2 * len(languages) + 1
         for batch in batches:
             at = 0
-            for keys, texts in text_slices(batch):
+            for keys, texts in text_slices(batch, 4 << 20):
                 more = [batch.column(1 + i).slice(at, len(keys)) for i in range(len(names))]
                 at += len(keys)
                 distinct, index, offsets = words_of(texts)
