@@ -49,3 +49,15 @@ def test_bad_rows_blank_lines_and_empty_files(spark, tmp_path):
     assert good == [(1, "a", 0.5), (4, None, None), (6, "last", 1000.0)]
     assert sorted(r.bad for r in found if r.bad is not None) == ["3,c", "5,,2,7", "z,b,1.0"]
     assert [(r.t, r.x) for r in found if r.bad == "z,b,1.0"] == [("b", 1.0)]
+
+
+def test_every_task_writes_a_file_of_its_own(spark, tmp_path, monkeypatch):
+    """Not all documents through one task."""
+    from checks import queries
+    docs = [(i, None if i == 3 else f'a "{i}",\nb', "en") for i in range(40)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "shared_folder", lambda *_: str(tmp_path / "csv"))
+    monkeypatch.setattr(queries.w, "table", lambda s, d, name, *columns: s.read.parquet(f"{d}/{name}.parquet").select(*columns).repartition(4))
+    found = queries.s12_read_csv_in_parts(spark, str(tmp_path)).collect()
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 4
+    assert sorted(r.doc_id for r in found) == list(range(40)) and all(r.good for r in found)
