@@ -45,7 +45,9 @@ def join_near_copies(spark, docs, sf_dir):
     kept = rows_of(sets.filter("NOT _repeated"), docs).select(*COLUMNS)
     # Only the rows of the ids concerned are hashed again for these two.
     several = sets.filter("_repeated")
-    again = docs.join(several.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # A table of its own, so that a few ids are known to be few before the texts are shuffled to meet them.
+    ids = jaccard.stored(several.select("_id").distinct(), "repeated-ids")
+    again = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     repeated = rows_of(several, again).groupBy("node").agg(F.min(F.struct("text", *[c for c in COLUMNS if c != "text"])).alias("_row"))
     wordless = docs.filter(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select(*COLUMNS).dropDuplicates(["doc_id", "text"])
     return kept.union(repeated.select(*[f"_row.{c}" for c in COLUMNS])).union(wordless)
@@ -54,7 +56,7 @@ def join_near_copies(spark, docs, sf_dir):
 def drop_passages(spark, docs, sf_dir):
     """Texts without the passages that an earlier document has; documents of which nothing is left go.
     Rows with equal ids keep a row each."""
-    small_batches(spark)
+    small_batches(spark, 500)
     rest = passages.drop_repeats(docs, carried=["lang", "source"]).filter(F.trim("text") != "")
     return rest.select("doc_id", "text", "carried.lang", "carried.source", F.char_length("text").cast("long").alias("n_chars"))
 

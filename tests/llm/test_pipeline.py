@@ -73,3 +73,20 @@ def test_near_copies_with_equal_ids(spark):
     found = [(r.doc_id, r.text) for r in corpus_pipeline.join_near_copies(spark, docs, FOLDER).collect()]
     assert len(found) == 4 and {(1, a), (2, b), (None, None)} <= set(found)
     assert [t[:len(c)] for i, t in found if i is None and t] == [c]  # Any one of the three.
+
+
+def test_few_repeated_ids_move_no_texts(spark, capsys):
+    """Texts are shuffled to meet the sets, but not a second time to meet the ids of several rows when these are few."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30)), "en", "s", 1) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "20k")
+    try:
+        kept = corpus_pipeline.join_near_copies(spark, docs, FOLDER)
+        kept.explain()
+        assert kept.count() == 3000
+    finally:
+        spark.conf.set(name, before)
+    semi = [line for line in capsys.readouterr().out.splitlines() if "LeftSemi" in line]
+    assert semi and all("BroadcastHashJoin" in line for line in semi)
