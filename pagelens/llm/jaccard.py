@@ -23,12 +23,13 @@ from pagelens.session import ensure_checkpoint_dir, shared_folder
 
 SLOTS = 1 << 18  # Counters of shingles: 2 MB on the driver and in each task, for any input.
 BLOCK = 1 << 12
-SLICE = 2 << 20  # Bytes of text that are cut into shingles at a time.
+SLICE = 1 << 20  # Bytes of text that are cut into shingles at a time.
 BINS = 64  # The suffix filter compares how many shingles fall into each part of the hash range.
+FINE = [(1 << 14, 12), (1 << 12, 10), (1 << 10, 8)]  # So many shingles or more: also 2 ** bits parts, as 64 tell long sets badly apart.
 CELL = 1 << 17  # Shingles in a block of a group's sets, about; a set is never cut.
 CELL_NODES = 1 << 10  # Nodes in a block, about.
 WIDTH = 1 << 10  # Shingles that a cell multiplies at a time.
-NEEDED_BITS = 20  # Before the exact join, whole sets are looked up in a bit table of this size.
+NEEDED_BITS = 24  # Before the exact join, whole sets are looked up in a bit table of 2 ** this many bits: 2 MB.
 
 
 def digest(grams):
@@ -44,13 +45,17 @@ def stored(df, name):
 
 
 def profile(texts, size):
-    """Per document doc_id, n, node, bins; at the end of each task its shingle counts, in blocks of BLOCK counters."""
+    """Per document doc_id, n, node, bins and, of long sets, fine ones; at the end of each task its shingle counts, in blocks of BLOCK counters."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
         counts = np.zeros(SLOTS, "int64")
-        names = ["doc_id", "n", "node", "bins", "block", "counts"]
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int16()), pa.int32(), pa.binary()]
+        names = ["doc_id", "n", "node", "bins", "fine", "block", "counts"]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int16()), pa.list_(pa.int16()), pa.int32(), pa.binary()]
+
+        def parts(grams, bits):
+            return np.minimum(np.bincount((grams >> np.uint64(64 - bits)).astype("int64"), minlength=1 << bits), 32767).astype("int16")
+
 
         def table(*columns):
             rows = max(map(len, columns))
@@ -58,18 +63,18 @@ def profile(texts, size):
 
         for batch in batches:
             for keys, found in text_slices(batch, SLICE):
-                n, nodes, bins = [], [], []
+                n, nodes, bins, fine = [], [], [], []
                 for grams in shingle_sets(found, size):
                     n.append(len(grams))
                     nodes.append(digest(grams) if len(grams) else None)
-                    part = np.bincount((grams >> np.uint64(58)).astype("int64"), minlength=BINS)
-                    bins.append(np.minimum(part, 32767).astype("int16"))
+                    bins.append(parts(grams, BINS.bit_length() - 1))
+                    fine.append(next((parts(grams, bits) for least, bits in FINE if len(grams) >= least), None))
                     np.add.at(counts, (grams & np.uint64(SLOTS - 1)).astype("int64"), 1)
-                yield table(keys, n, nodes, bins, [], [])
+                yield table(keys, n, nodes, bins, fine, [], [])
         for block in range(SLOTS // BLOCK):
-            yield table([], [], [], [], [block], [counts[block * BLOCK:(block + 1) * BLOCK].astype("<i8").tobytes()])
+            yield table([], [], [], [], [], [block], [counts[block * BLOCK:(block + 1) * BLOCK].astype("<i8").tobytes()])
 
-    return texts.mapInArrow(run, "doc_id long, n long, node binary, bins array<smallint>, block int, counts binary")
+    return texts.mapInArrow(run, "doc_id long, n long, node binary, bins array<smallint>, fine array<smallint>, block int, counts binary")
 
 
 def total_counts(profiled):
@@ -122,15 +127,15 @@ def prefixes(texts, size, percent, counts):
 
 
 def shared_prefixes(texts, size, percent, counts):
-    """Prefix shingles that more than one node has: gram, node, n, pos.
+    """Prefix shingles that more than one node has: gram, node, n, pos, and the same of the smallest node as ``least``.
 
     Every row carries its node, so n and pos are those of the node whatever ids the texts have.
     """
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_gram = Window.partitionBy("gram")
     places = prefixes(texts, size, percent, counts).repartition(partitions, "gram")
-    places = places.withColumn("_first", F.min("node").over(by_gram)).withColumn("_last", F.max("node").over(by_gram))
-    return places.filter("_first <> _last").select("gram", "node", "n", "pos").dropDuplicates(["gram", "node"])
+    places = places.withColumn("least", F.min(F.struct("node", "n", "pos")).over(by_gram)).withColumn("_last", F.max("node").over(by_gram))
+    return places.filter("least.node <> _last").select("gram", "node", "n", "pos", "least").dropDuplicates(["gram", "node"])
 
 
 def whole_sets(texts, size, needed):
@@ -187,11 +192,11 @@ def grouped(docs, percent, size, id_column, text_column):
     texts = documents(docs, id_column, text_column)
     profiled = stored(profile(texts, size), "profile")
     counts = spark.sparkContext.broadcast(total_counts(profiled))  # SLOTS counters, for any input.
-    members = profiled.filter("block IS NULL").select("doc_id", "n", "node", "bins")
+    members = profiled.filter("block IS NULL").select("doc_id", "n", "node", "bins", "fine")
     nodes = stored(members.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bins").alias("bins")), "nodes")
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bins").alias("bins"), F.first("fine").alias("fine")), "nodes")
     shared = stored(shared_prefixes(texts, size, percent, counts), "prefixes")
-    links = joined(texts, shared, nodes.select("node", "n", "bins"), size, percent)
+    links = joined(texts, shared, nodes.select("node", "n", "bins", "fine"), size, percent)
     named = nodes.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     return texts, members, named.select("node", "n", "rep", "copies", "label")
 
@@ -333,14 +338,16 @@ def with_nodes(docs, columns, size=5, text_column="text"):
 
 
 def bit_table(pairs):
-    """A bit for the first bits of every node in the pairs: at most 2 ** NEEDED_BITS numbers reach the driver."""
+    """A bit for the first bits of every node in the pairs: the words of 64 bits that are not 0 reach the driver."""
     import numpy as np
     place = F.conv(F.substring(F.hex("node"), 1, 8), 16, 10).cast("long")
     place = F.shiftright(place, 32 - NEEDED_BITS).cast("int").alias("place")
     both = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    bits = np.zeros(1 << NEEDED_BITS, "uint8")
-    bits[both.select(place).distinct().toPandas()["place"].to_numpy("int64")] = 1
-    return np.packbits(bits, bitorder="little")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(63))
+    words = both.select(place).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    bits = np.zeros(1 << (NEEDED_BITS - 6), "<i8")
+    bits[words["word"].to_numpy("int64")] = words["bits"].to_numpy("int64")
+    return bits.view("uint8")
 
 
 def verified(texts, pairs, size, percent):
@@ -360,36 +367,48 @@ def joined(texts, shared, nodes, size, percent):
             pairs = pairs.join(nodes.select(F.col("node").alias(side), F.struct("n", "bins").alias(f"_{side}")), side)
         return pairs.filter(suffix_filter(F.col("_a.bins"), F.col("_b.bins"), F.col("_a.n"), F.col("_b.n"), percent)).select("a", "b")
 
-    def labelled(labels):
-        if labels is None:
-            return shared.withColumn("label", F.col("node"))
-        return shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    def with_fine(pairs):
+        """Without the pairs of long sets that their fine bins tell apart; nothing is concluded from unequal numbers of them."""
+        long = nodes.filter("fine IS NOT NULL")
+        for side in ("a", "b"):
+            pairs = pairs.join(long.select(F.col("node").alias(side), F.struct("n", "fine").alias(f"_{side}")), side, "left")
+        alike = suffix_filter(F.col("_a.fine"), F.col("_b.fine"), F.col("_a.n"), F.col("_b.n"), percent)
+        return pairs.filter(F.when(F.size("_a.fine") == F.size("_b.fine"), alike).otherwise(True)).select("a", "b")
 
-    place = F.struct("node", "label", "n", "pos")
-    links, tried, labels = None, None, None
-    for step in range(2):
-        by_gram = Window.partitionBy("gram")
-        if step == 0:
-            other = [F.min(place).over(by_gram)]
-        else:
-            mixed = by_gram.orderBy(F.xxhash64("gram", "node"))
-            other = [F.lag(place, k).over(mixed) for k in (1, 2)] + [F.min(F.struct(F.xxhash64("node").alias("_h"), place.alias("place"))).over(by_gram)["place"]]
-        rows = labelled(labels).select(place.alias("x"), F.array(*other).alias("_others"))
-        pairs = rows.select("x", F.explode(F.filter("_others", lambda y: (y["label"] != F.col("x.label")) & plausible(F.col("x"), y, percent))).alias("y"))
+    def labelled(rows, labels):
+        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def checked(pairs, tried):
+        """Pairs that pass the filters and were not tried before, and those of them that are links."""
         pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(with_bins(pairs), "pairs")
-        found = verified(texts, pairs, size, percent)
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        labels = components(links)
-    left = labelled(labels).join(nodes.select("node", "bins"), "node")
+        pairs = stored(with_fine(with_bins(pairs)), "pairs")
+        return pairs, verified(texts, pairs, size, percent)
+
+    x, least = F.struct("node", "n", "pos").alias("x"), F.col("least").alias("y")
+    first = shared.select(x, least).filter((F.col("x.node") != F.col("y.node")) & plausible(F.col("x"), F.col("y"), percent))
+    tried, links = checked(first, None)
+
+    by_gram = Window.partitionBy("gram")
+    mixed = by_gram.orderBy(F.xxhash64("gram", "node"))
+    place = F.struct("node", "label", "n", "pos")
+    other = [F.lag(place, k).over(mixed) for k in (1, 2)] + [F.min(F.struct(F.xxhash64("node").alias("_h"), place.alias("place"))).over(by_gram)["place"]]
+    rows = labelled(shared.drop("least"), components(links)).select(
+        "gram", place.alias("x"), F.array(*other).alias("_others"), F.min("label").over(by_gram).alias("_from"), F.max("label").over(by_gram).alias("_to"))
+    useful = F.filter("_others", lambda y: (y["label"] != F.col("x.label")) & plausible(F.col("x"), y, percent))
+    # Shingles whose nodes are all connected by now are done with.
+    rows = stored(rows.filter("_from <> _to").select("gram", "x", F.transform(useful, lambda y: y["node"]).alias("others")), "open")
+    second = rows.select("x", F.explode("others").alias("_node")).select("x", F.struct(F.col("_node").alias("node")).alias("y"))
+    pairs, found = checked(second, tried)
+    tried, links = tried.union(pairs), links.union(found)
+    labels = components(links)
+    left = labelled(rows.select("gram", "x.node", "x.n", "x.pos"), labels).join(nodes.select("node", "bins"), "node")
     x = left.select("gram", F.struct("node", "label", "n", "pos", "bins").alias("x"))
     y = left.select("gram", F.struct("node", "label", "n", "pos", "bins").alias("y"))
     pairs = x.join(y, (x["gram"] == y["gram"]) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
                    & plausible(F.col("x"), F.col("y"), percent)
                    & suffix_filter(F.col("x.bins"), F.col("y.bins"), F.col("x.n"), F.col("y.n"), percent))
     pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    pairs = stored(pairs, "pairs")
+    pairs = stored(with_fine(pairs), "pairs")
     return links.union(verified(texts, pairs, size, percent))

@@ -357,3 +357,17 @@ def test_empty_tables(spark, tmp_path):
     assert fingerprint.fingerprints(none).count() == jaccard.similar_groups(none).count() == 0
     tokens.write_tokens(none, str(tmp_path / "e"), WORDS)
     assert tokens.read_tokens(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_jaccard_long_sets_are_told_apart(spark, monkeypatch):
+    """Long sets that are far from similar, but share shingles of their prefixes, are not compared whole; similar ones are."""
+    words = [f"w{i}" for i in range(6000)]
+    other = [f"x{i}" for i in range(6000)]
+    a, b = " ".join(words), " ".join(words[:2700] + other[2700:])
+    rows = [(1, a), (2, b), (3, a + " and more")]
+    pairs, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "total_counts", lambda _: np.zeros(jaccard.SLOTS, "int64"))
+    monkeypatch.setattr(jaccard, "verified", lambda texts, found, *rest: pairs.append(found.count()) or verified(texts, found, *rest))
+    found = jaccard.similar_groups(table(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 1}
+    assert sum(pairs) == 1
