@@ -212,6 +212,24 @@ def test_objective_is_loss_and_gradient(spark, tasks):
     assert abs(f1 - np.mean(2 * tp / np.maximum(2 * tp + fp + fn, 1))) < 1e-12
 
 
+def test_gradients_do_not_reach_the_driver(spark, monkeypatch):
+    import pickle
+    from pyspark import RDD
+    rows = [(" ".join(f"w{i}x{j}" for j in range(20)) + (" buy" if i % 3 else " report"), [float(bool(i % 3) == (k == 1)) for k in range(11)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "text string, label_vector array<double>")
+    got = []
+    for kind in (RDD, type(df)):
+        def collect(self, old=kind.collect):
+            found = old(self)
+            got.append(len(pickle.dumps(found)))
+            return found
+        monkeypatch.setattr(kind, "collect", collect)
+    trained = model.train(df, n_features=1 << 13, epochs=6, tolerance=0)
+    weights = 8 * 11 * int((trained.weights != 0).any(axis=1).sum())
+    assert weights > 300_000 and len(trained.history) == 7
+    assert sum(got) < 2 * weights  # The weights once, at the end, and sums.
+
+
 def test_training_keeps_the_best_epoch_and_can_go_on(spark, tmp_path):
     df = _examples(spark)
     trained = model.train(df, n_features=1 << 12, held_out=F.col("held"), tolerance=1e-3, checkpoint=str(tmp_path / "steps"))
