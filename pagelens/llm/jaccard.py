@@ -353,7 +353,7 @@ def bit_table(pairs):
 def verified(texts, pairs, size, percent):
     """The pairs whose whole sets are similar enough."""
     needed = pairs.sparkSession.sparkContext.broadcast(bit_table(pairs))
-    sets = whole_sets(texts, size, needed).dropDuplicates(["node"])
+    sets = stored(whole_sets(texts, size, needed).dropDuplicates(["node"]), "sets")  # Both joins read it: the texts are cut once.
     pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
     pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))

@@ -371,3 +371,27 @@ def test_jaccard_long_sets_are_told_apart(spark, monkeypatch):
     found = jaccard.similar_groups(table(spark, rows)).collect()
     assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 1}
     assert sum(pairs) == 1
+
+
+def test_verified_cuts_every_text_once(spark):
+    """Both sides of the pairs come from one pass over the texts, also where Spark doesn't reuse the exchange."""
+    from pyspark.sql import functions as F
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[:39] + [f"x{i}"])) for i in range(6)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    texts = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    nodes = jaccard.profile(texts, 5).filter("node IS NOT NULL").select("node").distinct()
+    pairs = jaccard.stored(nodes.select(F.col("node").alias("a")).join(nodes.select(F.col("node").alias("b")), F.col("a") < F.col("b")), "test")
+    reuse = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        links = jaccard.verified(texts.mapInArrow(counted, texts.schema), pairs, 5, 80)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+    assert links.count() == 15 and seen.value == 6
